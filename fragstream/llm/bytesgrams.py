@@ -28,7 +28,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def slices(texts: pa.Array, most: int = 1 << 21) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def slices(texts: pa.Array, most: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, row after, bytes, offsets) of runs of rows with about ``most`` bytes; nulls are empty texts."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
@@ -94,4 +94,13 @@ def ngrams(data: np.ndarray, off: np.ndarray, n: int) -> tuple[np.ndarray, np.nd
         cut = off[1:-1] - j
         ok[cut[(cut >= 0) & (cut < m)]] = False
     at = np.flatnonzero(ok)
-    return mix(h[at] + np.uint64(n) * P), at
+    return mix(h[at] + POWERS[n]), at
+
+
+def prefixes(data: np.ndarray, start: np.ndarray, end: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, word) of the first n bytes of each word that is longer."""
+    at = np.flatnonzero(end - start > n)
+    h = np.full(len(at), POWERS[n + 1])
+    for j in range(n):
+        h += TABLE[data[start[at] + j]] * POWERS[j]
+    return mix(h), at

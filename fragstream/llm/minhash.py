@@ -29,8 +29,8 @@ PERMS = BANDS * ROWS // 2
 SHARE = (75, 100)  # linked if 100 * intersection >= 75 * union
 #: Sketches (a byte of each signature value) that promise less than this are not confirmed: 4.5 standard deviations under 0.75.
 PROMISE = 0.65
-#: Members of a candidate bucket are compared in tiles of so many; so many partners of one member are confirmed in the first round.
-TILE, PARTNERS = 1024, 8
+#: Members of a candidate bucket are compared in tiles of so many; so many partners of one member are confirmed in the first round, all others in the second.
+TILE, PARTNERS = 1024, 16
 #: Ids up to this many (8 bytes each) are broadcast to pick out texts; above it the texts are shuffled by id.
 BROADCAST_IDS = 2_000_000
 
@@ -186,17 +186,17 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
                 ids = scratch.table(opened.select("id").distinct(), "openids")
                 sketches = scratch.table(_picked(texts, ids).dropDuplicates(["id"]).mapInArrow(_sketched, "id long, sketch binary"), "sketches")
             fresh = scratch.table(_promising(opened, sketches, tried, most), f"fresh{turn}")
-            if fresh.isEmpty():
-                if most >= TILE:
-                    break
-            else:
+            if fresh.isEmpty() and most >= TILE:
+                break
+            if not fresh.isEmpty():
                 more = scratch.table(_confirmed(fresh, texts, scratch, f"turn{turn}"), f"links{turn + 1}")
                 if not more.isEmpty():
                     edges = edges.union(more)
                     found = scratch.table(components(edges, scratch, f"cc{turn}-"), f"comp{turn}")
                 tried = tried.union(fresh)
-            turn, most = turn + 1, most * 8
+            turn, most = turn + 1, TILE
         named = classes.select(F.col("digest").alias("__d"), "rep").join(found.select("node", "component"), F.col("rep") == F.col("node"), "left").select("__d", F.coalesce("component", "rep").alias("component"))
+        named = scratch.table(named, "named")  # both sides of the next join are then dealt anew, and a class of many copies can be split
         out = signed.select("id", "n", "digest").join(named, F.col("digest") == F.col("__d"), "left")
         return checkpoint(out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id")).withColumn("kept", F.expr(f"{id_col} <=> component_id")))
 
@@ -234,8 +234,9 @@ def _promising(opened: DataFrame, sketches: DataFrame, tried: DataFrame, most: i
     """Untried pairs of promising members of one bucket in different components."""
     mine = F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int")
     every = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
-    rest = opened.withColumn("i", every).withColumn("j", mine).withColumn("role", F.lit(1))
-    minor = opened.where("comp <> major").withColumn("i", mine).withColumn("j", every).withColumn("role", F.lit(0))
-    tiles = minor.unionByName(rest).join(sketches, "id").select("band", "i", "j", "role", "id", "comp", "sketch")
+    one, more = opened.where("tiles = 1").withColumns({"i": F.lit(0), "j": F.lit(0)}), opened.where("tiles > 1")
+    rest = one.unionByName(more.withColumn("i", every).withColumn("j", mine))
+    minor = one.unionByName(more.withColumn("i", mine).withColumn("j", every)).where("comp <> major")
+    tiles = minor.withColumn("role", F.lit(0)).unionByName(rest.withColumn("role", F.lit(1))).join(sketches, "id").select("band", "i", "j", "role", "id", "comp", "sketch")
     fresh = tiles.groupBy("band", "i", "j").applyInPandas(_tile(most), "a long, b long").distinct()
     return fresh.join(tried.select(F.col("a").alias("x"), F.col("b").alias("y")), (F.col("a") == F.col("x")) & (F.col("b") == F.col("y")), "left_anti")
