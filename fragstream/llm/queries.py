@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import decontaminate, mixing, secret_scan
 from .minhash import near_duplicate_classes
 
 
@@ -17,9 +18,21 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicate_classes(_t(spark, sf_dir, "documents"))
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture_of(_t(spark, sf_dir, "documents"))
+
+
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.secrets(_t(spark, sf_dir, "documents"))
+
+
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination(_t(spark, sf_dir, "documents"), _t(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_minhash": op1_minhash}
+    return {f.__name__: f for f in (op1_minhash, op3_mixing, op7_secrets, op8_decontaminate)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_mixing": mixing.ORACLE_SQL, "op7_secrets": secret_scan.ORACLE_SQL, "op8_decontaminate": decontaminate.ORACLE_SQL}
