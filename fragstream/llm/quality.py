@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..shipping import ship
 from .bytesgrams import SPACE, ngrams, slices, word_hashes, words
@@ -109,14 +110,16 @@ def scored(docs: DataFrame, model, text_col: str = "text", score_col: str = "sco
     spark = docs.sparkSession
     ship(spark)
     held = spark.sparkContext.broadcast(model)  # about a megabyte, whatever the corpus
-    at = docs.columns.index(text_col)
-    schema = docs.schema.add(score_col, "double", False)
+    at, names = docs.columns.index(text_col), docs.columns
+    plain = docs.toDF(*(f"c{i}" for i in range(len(names))))  # names may hold dots
+    out = [*plain.columns, "score"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(held.value.scores(batch.column(at)), pa.float64())], [*batch.schema.names, score_col])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(held.value.scores(batch.column(at)), pa.float64())], out)
 
-    return docs.mapInArrow(run, schema)
+    schema = T.StructType([*plain.schema.fields, T.StructField("score", T.DoubleType())])
+    return plain.mapInArrow(run, schema).toDF(*names, score_col)
 
 
 def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
