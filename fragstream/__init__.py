@@ -1,0 +1 @@
+"""fragstream: versioned event streams published as linked, range-annotated fragments, replicated and queried with Spark DataFrames."""

@@ -5,11 +5,335 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..functions import scalars
+from ..functions import terms as V
+from ..operators import members as member_ops
+from ..operators import ordering, relations, versions
+from ..operators.conditions import And, MaxCount, Or, over_columns, window
+from ..sources import sinks
+from . import crawl, tabular
+from .tabular import EVENTS, ORDERS, TIME, leaf
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+Query = Callable[[SparkSession, str], DataFrame]
+_QUERIES: dict[str, Query] = {}
+
+
+def query(f: Query) -> Query:
+    _QUERIES[f.__name__] = f
+    return f
+
+
+def _events(spark: SparkSession, d: str) -> DataFrame:
+    return EVENTS.members(spark, d)
+
+
+def _within(spark: SparkSession, d: str, before: str | None = None, after: str | None = None, table: tabular.Table = EVENTS) -> DataFrame:
+    return window(TIME, before, after).apply(table.members(spark, d), table.resolve())
+
+
+def _where(df: DataFrame, cond, *columns: str) -> DataFrame:
+    return cond.apply(df, over_columns({c: c for c in df.columns} | {"urn:time": "timestamp"}))
+
+
+@query
+def replicate_all(spark, d):
+    return _events(spark, d).select("member_id", "timestamp", "is_version_of", "type")
+
+
+@query
+def filter_after(spark, d):
+    return _within(spark, d, after="2024-01-15T00:00:00Z").select("member_id", F.col("timestamp").alias("ts"))
+
+
+@query
+def filter_before(spark, d):
+    return _within(spark, d, before="2024-01-15T00:00:00Z").select("member_id", F.col("timestamp").alias("ts"))
+
+
+@query
+def filter_window(spark, d):
+    return _within(spark, d, "2024-01-20T00:00:00Z", "2024-01-10T00:00:00Z").select("member_id", F.col("timestamp").alias("ts"))
+
+
+@query
+def filter_exclusive_bounds(spark, d):
+    return _within(spark, d, "1998-02-01T00:00:00Z", "1998-01-01T00:00:00Z", ORDERS).select("member_id", F.col("timestamp").alias("o_orderdate"))
+
+
+@query
+def cond_equal_string(spark, d):
+    return _where(_events(spark, d), leaf("type", V.EQUAL, "purchase")).select("member_id", F.col("type").alias("event_type"))
+
+
+@query
+def cond_lt(spark, d):
+    return _where(_events(spark, d), leaf("value", V.LESS, 10, "float")).select("member_id", "value")
+
+
+def _lines(spark, d):
+    return spark.read.parquet(f"{d}/lineitem.parquet")
+
+
+def _quantity(spark, d, kind, value):
+    return _where(_lines(spark, d), leaf("l_quantity", kind, value, "float")).select("l_orderkey", "l_linenumber", "l_quantity")
+
+
+@query
+def cond_lte(spark, d):
+    return _quantity(spark, d, V.LESS_EQUAL, 2)
+
+
+@query
+def cond_gt(spark, d):
+    return _quantity(spark, d, V.GREATER, 49)
+
+
+@query
+def cond_gte(spark, d):
+    return _quantity(spark, d, V.GREATER_EQUAL, 49)
+
+
+@query
+def cond_in_between_month(spark, d):
+    cond = leaf("timestamp", V.BETWEEN, "1998-03", "date", zone="Z")
+    return _where(ORDERS.members(spark, d), cond).select("member_id", F.col("timestamp").alias("o_orderdate"))
+
+
+@query
+def cond_in_between_aoe(spark, d):
+    cond = leaf("timestamp", V.BETWEEN, "2024-01-10", "date", zone="AoE")
+    return _where(_events(spark, d), cond).select("member_id", F.col("timestamp").alias("ts"))
+
+
+@query
+def cond_and(spark, d):
+    cond = And((leaf("value", V.GREATER_EQUAL, 5, "float"), leaf("value", V.LESS, 50, "float"), leaf("type", V.EQUAL, "click")))
+    return _where(_events(spark, d), cond).select("member_id", "value", F.col("type").alias("event_type"))
+
+
+@query
+def cond_or(spark, d):
+    cond = Or((leaf("type", V.EQUAL, "click"), leaf("type", V.EQUAL, "view")))
+    return _where(_events(spark, d), cond).select("member_id", F.col("type").alias("event_type"))
+
+
+@query
+def cond_nested(spark, d):
+    cond = window(TIME, after="2024-01-05T00:00:00Z", rest=Or((leaf("type", V.EQUAL, "click"), leaf("value", V.GREATER_EQUAL, 90, "float"))))
+    return _where(_events(spark, d), cond).select("member_id", F.col("type").alias("event_type"), "value")
+
+
+@query
+def cond_json_payload(spark, d):
+    df = _events(spark, d).withColumn("k", scalars.leading_integer(F.get_json_object("props", "$.k")))
+    return _where(df, leaf("k", V.GREATER, 50, "integer")).select("member_id", "k")
+
+
+@query
+def max_count(spark, d):
+    return MaxCount(100).apply(_events(spark, d), None, "member_id").select("member_id", F.col("timestamp").alias("ts"))
+
+
+@query
+def max_count_before_order(spark, d):
+    return ordering.numbered(MaxCount(100).apply(_events(spark, d), None, "member_id"), "descending").select("member_id", "emit_seq")
+
+
+@query
+def max_count_reset_per_poll(spark, d):
+    df = _events(spark, d).withColumn("poll", F.to_date("timestamp"))
+    return MaxCount(3, reset_on_poll=True).apply(df, None, "member_id", "poll").select("member_id", F.col("timestamp").alias("ts"))
+
+
+@query
+def max_count_in_or(spark, d):
+    cond = Or((leaf("type", V.EQUAL, "purchase"), MaxCount(50)))
+    return cond.apply(_events(spark, d), over_columns({"type": "type"}), "member_id").select("member_id", F.col("type").alias("event_type"))
+
+
+@query
+def ordered_ascending(spark, d):
+    return ordering.numbered(_events(spark, d)).select("member_id", "emit_seq")
+
+
+@query
+def ordered_descending(spark, d):
+    return ordering.numbered(_events(spark, d), "descending").select("member_id", "emit_seq")
+
+
+@query
+def last_version_only(spark, d):
+    return versions.last_version_only(_events(spark, d)).select("member_id", "is_version_of", F.col("timestamp").alias("ts"))
+
+
+@query
+def last_version_ties(spark, d):
+    return versions.last_version_only(ORDERS.members(spark, d)).select("member_id", "is_version_of", F.col("timestamp").alias("d"))
+
+
+@query
+def last_version_as_of(spark, d):
+    return versions.last_version_only(_within(spark, d, before="2024-01-15T00:00:00Z")).select("member_id", "is_version_of", F.col("timestamp").alias("ts"))
+
+
+@query
+def latest_in_arrival_order(spark, d):
+    arrival = (F.col("member_id") * 7919) % 1000003
+    return versions.latest_in_arrival_order(_events(spark, d), arrival, "member_id").select("member_id", "is_version_of", F.col("timestamp").alias("ts"))
+
+
+@query
+def materialize(spark, d):
+    return versions.materialize_ids(_events(spark, d)).select("member_id", F.col("timestamp").alias("ts"), "type", "value")
+
+
+@query
+def materialize_last_version(spark, d):
+    return versions.materialize_ids(versions.last_version_only(_events(spark, d))).select("member_id", F.col("timestamp").alias("ts"))
+
+
+@query
+def member_to_quads(spark, d):
+    return member_ops.statements(_events(spark, d), {"type": F.col("type"), "isVersionOf": F.col("is_version_of").cast("string")})
+
+
+@query
+def sds_envelope(spark, d):
+    return sinks.envelope_rows(_events(spark, d), "urn:stream:events", graph="DataDescription")
+
+
+@query
+def dedup_across_pages(spark, d):
+    pages = _within(spark, d, before="2024-01-20T00:00:00Z").unionByName(_within(spark, d, after="2024-01-10T00:00:00Z"))
+    return ordering.distinct_members(pages.select("member_id", F.col("timestamp").alias("ts")))
+
+
+@query
+def resume_anti_join(spark, d):
+    emitted = _within(spark, d, before="2024-01-18T00:00:00Z").select("member_id")
+    return ordering.not_emitted(_events(spark, d), emitted).select("member_id", F.col("timestamp").alias("ts"))
+
+
+@query
+def fragment_stats(spark, d):
+    return member_ops.page_statistics(_events(spark, d).withColumn("page", F.to_date("timestamp")), "page")
+
+
+@query
+def relation_ranges(spark, d):
+    ranges = tabular.calendar_ranges(_events(spark, d))
+    return ranges.select(F.col("node").cast("date").alias("page"), F.col("low").alias("lower_bound"), F.col("high").alias("upper_bound"))
+
+
+def _window_condition():
+    return window(TIME, "2024-01-20T00:00:00Z", "2024-01-10T00:00:00Z")
+
+
+@query
+def relation_pruning(spark, d):
+    return relations.pruned(tabular.calendar_ranges(_events(spark, d)), _window_condition()).select(F.col("node").cast("date").alias("page"), "allowed")
+
+
+@query
+def pruned_scan(spark, d):
+    reached = relations.pruned(tabular.calendar_ranges(_events(spark, d)), _window_condition()).where("allowed").select(F.col("node").cast("date").alias("page"))
+    df = _where(_events(spark, d), _window_condition()).withColumn("page", F.to_date("timestamp"))
+    return df.join(reached, "page", "left_semi").select("member_id", F.col("timestamp").alias("ts"))
+
+
+@query
+def frontier_order(spark, d):
+    steps = relations.priority(tabular.calendar_ranges(_events(spark, d)), str(TIME)).select(F.col("node").cast("date").alias("page"), F.col("important").cast("int").alias("important"), "value")
+    plain = spark.sql("select date'1970-01-01' as page, 0 as important, cast(null as timestamp_ntz) as value")
+    return relations.frontier(steps.unionByName(plain), "important", "value", "page").select("page", "important", "fetch_seq")
+
+
+@query
+def marker_emission(spark, d):
+    pending = tabular.calendar_ranges(_within(spark, d, after="2024-01-11T23:59:59.999999Z"))
+    return ordering.inside_marker(_events(spark, d), pending.agg(F.min("low").alias("marker"))).select("member_id", F.col("timestamp").alias("ts"))
+
+
+@query
+def tree_traversal(spark, d):
+    day = F.to_date("timestamp")
+    year, month = F.year(day).cast("bigint") * 10000, F.month(day) * 100
+    days = _events(spark, d).select(day.alias("timestamp")).distinct()
+    steps = F.explode(F.array(F.struct(F.lit(0).cast("bigint").alias("src"), year.alias("dst")), F.struct(year.alias("src"), (year + month).alias("dst")), F.struct((year + month).alias("src"), (year + month + F.day(day)).alias("dst"))))
+    edges = days.select(steps.alias("e")).select("e.src", "e.dst").distinct()
+    return crawl.reachable(edges, 0)
+
+
+@query
+def immutable_skip(spark, d):
+    pages = _events(spark, d).select(F.to_date("timestamp").alias("page")).distinct()
+    last = pages.agg(F.max("page").alias("last"))
+    immutable = pages.join(F.broadcast(last), F.col("page") < F.col("last")).select("page")
+    return pages.join(immutable, "page", "left_anti")
+
+
+@query
+def progress_counters(spark, d):
+    df = _events(spark, d)
+    return df.agg(F.count("*").alias("member_count"), F.count_distinct(F.to_date("timestamp")).alias("fragment_count"), F.count_distinct("is_version_of").alias("entity_count"))
+
+
+@query
+def page_hosts(spark, d):
+    return spark.read.parquet(f"{d}/pages.parquet").select("page_id", scalars.host(F.col("url")).alias("host"), scalars.origin(F.col("url")).alias("origin"))
+
+
+def queries() -> dict[str, Query]:
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLE)
+
+
+ORACLE: dict[str, str] = {
+    "replicate_all": """SELECT event_id AS member_id, ts AS timestamp, user_id AS is_version_of, event_type AS type FROM events""",
+    "filter_after": """SELECT event_id AS member_id, ts FROM events WHERE ts > TIMESTAMP '2024-01-15 00:00:00'""",
+    "filter_before": """SELECT event_id AS member_id, ts FROM events WHERE ts < TIMESTAMP '2024-01-15 00:00:00'""",
+    "filter_window": """SELECT event_id AS member_id, ts FROM events WHERE ts > TIMESTAMP '2024-01-10 00:00:00' AND ts < TIMESTAMP '2024-01-20 00:00:00'""",
+    "filter_exclusive_bounds": """SELECT o_orderkey AS member_id, o_orderdate FROM orders WHERE o_orderdate > TIMESTAMP '1998-01-01 00:00:00' AND o_orderdate < TIMESTAMP '1998-02-01 00:00:00'""",
+    "cond_equal_string": """SELECT event_id AS member_id, event_type FROM events WHERE event_type = 'purchase'""",
+    "cond_lt": """SELECT event_id AS member_id, value FROM events WHERE value < 10.0""",
+    "cond_lte": """SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_quantity <= 2.0""",
+    "cond_gt": """SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_quantity > 49.0""",
+    "cond_gte": """SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_quantity >= 49.0""",
+    "cond_in_between_month": """SELECT o_orderkey AS member_id, o_orderdate FROM orders WHERE o_orderdate >= TIMESTAMP '1998-03-01 00:00:00' AND o_orderdate < TIMESTAMP '1998-04-01 00:00:00'""",
+    "cond_in_between_aoe": """SELECT event_id AS member_id, ts FROM events WHERE ts >= TIMESTAMP '2024-01-09 12:00:00' AND ts < TIMESTAMP '2024-01-11 12:00:00'""",
+    "cond_and": """SELECT event_id AS member_id, value, event_type FROM events WHERE value >= 5.0 AND value < 50.0 AND event_type = 'click'""",
+    "cond_or": """SELECT event_id AS member_id, event_type FROM events WHERE event_type = 'click' OR event_type = 'view'""",
+    "cond_nested": """SELECT event_id AS member_id, event_type, value FROM events WHERE (event_type = 'click' OR value >= 90.0) AND ts > TIMESTAMP '2024-01-05 00:00:00'""",
+    "max_count": """SELECT event_id AS member_id, ts FROM events ORDER BY event_id LIMIT 100""",
+    "max_count_before_order": """SELECT member_id, row_number() OVER (ORDER BY ts DESC, member_id) AS emit_seq FROM (SELECT event_id AS member_id, ts FROM events ORDER BY event_id LIMIT 100) t""",
+    "max_count_reset_per_poll": """SELECT member_id, ts FROM (SELECT event_id AS member_id, ts, row_number() OVER (PARTITION BY CAST(ts AS DATE) ORDER BY event_id) AS rn FROM events) t WHERE rn <= 3""",
+    "ordered_ascending": """SELECT event_id AS member_id, row_number() OVER (ORDER BY ts, event_id) AS emit_seq FROM events""",
+    "ordered_descending": """SELECT event_id AS member_id, row_number() OVER (ORDER BY ts DESC, event_id) AS emit_seq FROM events""",
+    "last_version_only": """SELECT member_id, is_version_of, ts FROM (SELECT event_id AS member_id, user_id AS is_version_of, ts, rank() OVER (PARTITION BY user_id ORDER BY ts DESC) AS r FROM events) t WHERE r = 1""",
+    "last_version_ties": """SELECT member_id, is_version_of, d FROM (SELECT o_orderkey AS member_id, o_custkey AS is_version_of, o_orderdate AS d, rank() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC) AS r FROM orders) t WHERE r = 1""",
+    "last_version_as_of": """SELECT member_id, is_version_of, ts FROM (SELECT event_id AS member_id, user_id AS is_version_of, ts, rank() OVER (PARTITION BY user_id ORDER BY ts DESC) AS r FROM events WHERE ts < TIMESTAMP '2024-01-15 00:00:00') t WHERE r = 1""",
+    "latest_in_arrival_order": """SELECT member_id, is_version_of, ts FROM (SELECT event_id AS member_id, user_id AS is_version_of, ts, max(ts) OVER (PARTITION BY user_id ORDER BY (event_id * 7919) % 1000003, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS m FROM events) t WHERE ts >= m""",
+    "materialize": """SELECT user_id AS member_id, ts, event_type AS type, value FROM events""",
+    "materialize_last_version": """SELECT is_version_of AS member_id, ts FROM (SELECT user_id AS is_version_of, ts, rank() OVER (PARTITION BY user_id ORDER BY ts DESC) AS r FROM events) t WHERE r = 1""",
+    "member_to_quads": """SELECT event_id AS s, 'type' AS p, event_type AS o FROM events UNION ALL SELECT event_id, 'isVersionOf', CAST(user_id AS VARCHAR(20)) FROM events""",
+    "sds_envelope": """SELECT event_id AS payload, 'urn:stream:events' AS stream, 'DataDescription' AS graph FROM events""",
+    "dedup_across_pages": """SELECT DISTINCT event_id AS member_id, ts FROM (SELECT event_id, ts FROM events WHERE ts < TIMESTAMP '2024-01-20 00:00:00' UNION ALL SELECT event_id, ts FROM events WHERE ts > TIMESTAMP '2024-01-10 00:00:00') t""",
+    "resume_anti_join": """SELECT e.event_id AS member_id, e.ts FROM events e WHERE NOT EXISTS (SELECT 1 FROM (SELECT event_id FROM events WHERE ts < TIMESTAMP '2024-01-18 00:00:00') x WHERE x.event_id = e.event_id)""",
+    "fragment_stats": """SELECT CAST(ts AS DATE) AS page, count(*) AS member_count, min(ts) AS first_ts, max(ts) AS last_ts FROM events GROUP BY CAST(ts AS DATE)""",
+    "relation_ranges": """SELECT page, max(CASE WHEN rel = 'GTE' THEN v END) AS lower_bound, min(CASE WHEN rel = 'LT' THEN v END) AS upper_bound FROM (SELECT DISTINCT CAST(ts AS DATE) AS page, 'GTE' AS rel, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS v FROM events UNION ALL SELECT DISTINCT CAST(ts AS DATE), 'LT', CAST(CAST(ts AS DATE) AS TIMESTAMP) + INTERVAL '1' DAY FROM events) r GROUP BY page""",
+    "relation_pruning": """SELECT page, (lo < TIMESTAMP '2024-01-20 00:00:00' AND hi > TIMESTAMP '2024-01-10 00:00:00') AS allowed FROM (SELECT DISTINCT CAST(ts AS DATE) AS page, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS lo, CAST(CAST(ts AS DATE) AS TIMESTAMP) + INTERVAL '1' DAY AS hi FROM events) p""",
+    "pruned_scan": """SELECT e.event_id AS member_id, e.ts FROM events e WHERE CAST(e.ts AS DATE) IN (SELECT DISTINCT CAST(ts AS DATE) FROM events WHERE CAST(ts AS DATE) >= DATE '2024-01-10' AND CAST(ts AS DATE) < DATE '2024-01-20') AND e.ts > TIMESTAMP '2024-01-10 00:00:00' AND e.ts < TIMESTAMP '2024-01-20 00:00:00'""",
+    "frontier_order": """SELECT page, important, row_number() OVER (ORDER BY important, page) AS fetch_seq FROM (SELECT DISTINCT CAST(ts AS DATE) AS page, 1 AS important FROM events UNION ALL SELECT DATE '1970-01-01', 0) f""",
+    "marker_emission": """SELECT event_id AS member_id, ts FROM events WHERE ts < (SELECT min(lo) FROM (SELECT DISTINCT CAST(CAST(ts AS DATE) AS TIMESTAMP) AS lo FROM events WHERE ts >= TIMESTAMP '2024-01-12 00:00:00') pending)""",
+    "tree_traversal": """WITH RECURSIVE edge AS (SELECT DISTINCT 'root' AS src, CAST(extract(year FROM ts) * 10000 AS BIGINT) AS dst FROM events), day_edge AS (SELECT DISTINCT CAST(extract(year FROM ts) * 10000 AS BIGINT) AS src, CAST(extract(year FROM ts) * 10000 + extract(month FROM ts) * 100 AS BIGINT) AS dst FROM events UNION ALL SELECT DISTINCT CAST(extract(year FROM ts) * 10000 + extract(month FROM ts) * 100 AS BIGINT), CAST(extract(year FROM ts) * 10000 + extract(month FROM ts) * 100 + extract(day FROM ts) AS BIGINT) FROM events), reach(node, depth) AS (SELECT dst, 1 FROM edge UNION ALL SELECT d.dst, r.depth + 1 FROM reach r JOIN day_edge d ON d.src = r.node) SELECT node, depth FROM reach""",
+    "immutable_skip": """SELECT DISTINCT CAST(ts AS DATE) AS page FROM events WHERE CAST(ts AS DATE) NOT IN (SELECT CAST(ts AS DATE) FROM events WHERE CAST(ts AS DATE) < (SELECT max(CAST(ts AS DATE)) FROM events))""",
+    "progress_counters": """SELECT count(*) AS member_count, count(DISTINCT CAST(ts AS DATE)) AS fragment_count, count(DISTINCT user_id) AS entity_count FROM events""",
+    "cond_json_payload": """SELECT event_id AS member_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events WHERE CAST(json_extract_string(props, '$.k') AS BIGINT) > 50""",
+    "max_count_in_or": """SELECT event_id AS member_id, event_type FROM events WHERE event_type = 'purchase' OR event_id IN (SELECT event_id FROM events ORDER BY event_id LIMIT 50)""",
+    "page_hosts": """SELECT page_id, regexp_extract(url, '^[a-z]+://([^/:?#]+)', 1) AS host, regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]+)', 1) AS origin FROM pages""",
+}
