@@ -27,7 +27,7 @@ STREAM = "https://w3id.org/ldes#"
 DCT = "http://purl.org/dc/terms/"
 SHACL = "http://www.w3.org/ns/shacl#"
 SDS = "https://w3id.org/sds#"
-CONDITIONS = "https://w3id.org/tree/client/conditions#"
+CONDITIONS = "http://vocab.deri.ie/csp#"
 
 TYPE, FIRST, REST, NIL = RDF + "type", RDF + "first", RDF + "rest", RDF + "nil"
 LANG_STRING, STRING = RDF + "langString", XSD + "string"

@@ -5,7 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.conditions import Condition
 from ..shared import checkpoint
+from ..sources import pages
+from ..sources.http import FetchError
+from .config import Config
 
 
 def reachable(edges: DataFrame, root, most_levels: int | None = None) -> DataFrame:
@@ -20,3 +24,33 @@ def reachable(edges: DataFrame, root, most_levels: int | None = None) -> DataFra
         out = out.unionByName(level)
         frontier, depth = level.join(edges, F.col("node") == F.col("src")).select(F.col("dst").alias("node")).distinct(), depth + 1
     return out
+
+
+def waves(start: DataFrame, config: Config, condition: Condition, skip: DataFrame | None = None, enough=None) -> DataFrame:
+    """All pages that allowed links lead to from the addresses in ``start``, each fetched once.
+
+    A wave is one job: the frontier is dealt over as many tasks as there may be
+    fetches at a time, pages are parsed and their links pruned there, and the
+    pages are checkpointed, so that a lost executor fetches nothing again that
+    is done. ``skip`` has pages that need no fetch; ``enough(pages)`` may end the
+    crawl. A page that can't be had is an error.
+    """
+    frontier, seen, out = start.select(F.col(start.columns[0]).alias("target")).distinct(), None, None
+    if skip is not None:
+        skip = skip.select(F.col(skip.columns[0]).alias("__s"))
+        frontier = frontier.join(skip, F.col("target") == F.col("__s"), "left_anti")
+    while True:
+        # a task may be as slow as its pages, whatever their bytes: deal them evenly
+        wave = checkpoint(pages.scan(frontier.repartition(max(1, config.concurrent_fetches)), config, condition))
+        bad = wave.where("error is not null").select("error").first()
+        if bad is not None:
+            raise FetchError(bad[0])
+        out = wave if out is None else out.unionByName(wave)
+        if wave.isEmpty() or (enough is not None and enough(out)):
+            return out
+        fetched = wave.select(F.col("target").alias("__t")).union(wave.select(F.col("page_url").alias("__t")))
+        seen = fetched if seen is None else seen.union(fetched)
+        ahead = wave.select(F.explode("nodes").alias("target")).select(F.regexp_extract("target", "^([^#]*)", 1).alias("target")).distinct()
+        frontier = ahead.join(seen.distinct(), F.col("target") == F.col("__t"), "left_anti")
+        if skip is not None:
+            frontier = frontier.join(skip, F.col("target") == F.col("__s"), "left_anti")
