@@ -10,8 +10,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A word of the corpus contract: a run of anything but ASCII white space.
-WORD = r"[^\x20\x09-\x0D]+"
+#: A word of the corpus contract: a run of anything but ASCII white space (listed one by one, which Java looks up in a table).
+WORD = r"[^\x20\x09\x0A\x0B\x0C\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 

@@ -16,8 +16,11 @@ from pyspark.sql import functions as F
 from .common import Scratch, checkpoint, lower_ascii
 
 WINDOW = 13
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"  # of texts whose A-Z are lower-cased
-ANY_CASE_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+# Everything but ASCII that is no letter or digit, listed one by one: Java looks such a class up in a table, ranges it compares in turn.
+_OTHER = [c for c in range(128) if not chr(c).isalnum()]
+ANY_CASE_WORD = "[^" + "".join(rf"\x{c:02X}" for c in _OTHER) + "]+"
+#: A word of texts whose A-Z are lower-cased.
+WORD = "[^" + "".join(rf"\x{c:02X}" for c in [*_OTHER, *range(65, 91)]) + "]+"
 #: Windows up to this many are broadcast (8 bytes each in the scan); a larger set is joined by a shuffle.
 BROADCAST_WINDOWS = 2_000_000
 BROADCAST_DOCS = 2_000_000
