@@ -191,11 +191,16 @@ class Reader:
 def fit(docs: DataFrame, rows: int = TRAIN_ROWS) -> Network:
     """Learns from (doc_id, text, lang) of documents that are not held out: of each language the first ``rows`` in a seeded order."""
     known = docs.where("text is not null and lang is not null").where(~held_out("doc_id", *HELD_OUT)).select("doc_id", "lang")
-    langs = [r["lang"] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()]
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(SEED)), "doc_id"))  # limited in each task before it is dealt
-    drawn = known.where(F.col("lang").isin(langs)).withColumn("place", place).where(F.col("place") <= rows).select(F.col("doc_id").alias("__i"), F.col("lang").alias("__l"))
+    counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGS).collect()}
+    if not counts:
+        return Network([])
+    # a seeded share of each language, about twice what is taken, so that the ranking sees few rows of a frequent one
+    share = F.element_at(F.create_map(*(F.lit(x) for lang, n in counts.items() for x in (lang, min(1.0, (2.0 * rows + 100) / n)))), F.col("lang"))
+    some = known.where(F.col("lang").isin(list(counts))).where(F.pmod(F.xxhash64("doc_id", F.lit(SEED + 1)), F.lit(1_000_000)) < share * 1_000_000)
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id", F.lit(SEED)), "doc_id"))
+    drawn = some.withColumn("place", place).where(F.col("place") <= rows).select(F.col("doc_id").alias("__i"), F.col("lang").alias("__l"))
     got = docs.select("doc_id", "text", "lang").join(F.broadcast(drawn), (F.col("doc_id") == F.col("__i")) & (F.col("lang") == F.col("__l"))).where("text is not null")
-    found = sorted({(r["doc_id"], r["lang"], r["text"]) for r in got.select("doc_id", "lang", "text").collect()})
+    found = sorted({(r["doc_id"], r["lang"], r["text"]) for r in got.select("doc_id", "lang", "text").distinct().collect()})
     langs = sorted({x[1] for x in found})
     return Network(langs).learn([x[2] for x in found], [langs.index(x[1]) for x in found])
 
