@@ -94,16 +94,24 @@ def _counted(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
     return [np.unique(np.concatenate([b for b, _ in features(data, off)]), return_counts=True) for _, _, data, off in slices(pa.array(texts, pa.string()), 1)]
 
 
+def _evidence(a: np.ndarray, b: np.ndarray, n1: float, n0: float) -> np.ndarray:
+    """Likelihood ratio (G squared) of presence in a of n1 and b of n0 texts against one common share."""
+    part = lambda x, n, p: np.where(x > 0, x * np.log(np.maximum(x, 1e-9) / np.maximum(n * p, 1e-9)), 0)
+    p = (a + b) / (n1 + n0)
+    return 2 * (part(a, n1, p) + part(b, n0, p) + part(n1 - a, n1, 1 - p) + part(n0 - b, n0, 1 - p))
+
+
 def train(rows: list[tuple[str, int]], fairness: float = FAIRNESS) -> Model:
-    """Learns from (text, label); with one class only, or no rows, every score is that class's share (0 without rows).
+    """Learns from (text, label); without both classes, or a feature that tells them apart, every score is the share of class 1.
 
-    Features are chosen by the log-odds of their presence times their number of
-    toxic texts. Gradient descent over all rows at once; classes weigh the same.
+    Features are those whose presence in toxic texts is beyond chance, by the
+    likelihood ratio, best first. Gradient descent over all rows at once; classes weigh the same.
     """
     y = np.array([label for _, label in rows], float)
-    if len(set(y.tolist())) < 2:
-        share = float(y.mean()) if len(y) else 0.0
-        return Model(np.zeros(1 << BITS, np.int32), np.zeros(1), float(np.log(max(share, 1e-3) / max(1 - share, 1e-3))))
+    share = float(y.mean()) if len(y) else 0.0
+    alike = Model(np.zeros(1 << BITS, np.int32), np.zeros(1), float(np.log(max(share, 1e-3) / max(1 - share, 1e-3))))
+    if share in (0.0, 1.0):
+        return alike
     rng = np.random.default_rng(SEED)
     own = _counted([t for t, _ in rows])
     twins = [(i, s) for i, (t, _) in enumerate(rows) if (s := swapped(t, rng)) is not None]
@@ -112,11 +120,13 @@ def train(rows: list[tuple[str, int]], fairness: float = FAIRNESS) -> Model:
     for (found, _), label in zip(own, y, strict=True):
         df[int(label), found] += 1
     n1, n0 = y.sum(), len(y) - y.sum()
-    odds = np.log((df[1] + 0.1) / (n1 + 0.2)) - np.log((df[0] + 0.1) / (n0 + 0.2))
-    worth = np.where(df.sum(0) >= LEAST_DOCS, np.abs(odds) * np.sqrt(df.max(0)) * (np.abs(odds) > 1), 0)
-    if n1 < 200:  # few examples: only what never occurs in the other class is safe
-        worth = np.where((df[0] > 0) & (df[1] > 0) & (odds > 0) & (odds < 3), 0, worth)
+    worth = _evidence(df[1], df[0], n1, n0)
+    # as many features are tried as occur: chance alone exceeds this about once
+    least = 2 * np.log(max(2, int((df.sum(0) > 0).sum())))
+    worth[(df[1] / n1 <= df[0] / n0) | (df.sum(0) < LEAST_DOCS) | (worth < least)] = 0
     kept = np.sort(np.argsort(-worth, kind="stable")[: min(KEPT, int((worth > 0).sum()))])
+    if not len(kept):
+        return alike
     slot = np.zeros(1 << BITS, np.int32)
     slot[kept] = np.arange(1, len(kept) + 1)
 
