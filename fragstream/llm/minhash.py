@@ -27,10 +27,10 @@ from .graph import components
 SHINGLE, BANDS, ROWS = 5, 64, 6
 PERMS = BANDS * ROWS // 2
 SHARE = (75, 100)  # linked if 100 * intersection >= 75 * union
-#: Sketches (a byte of each signature value) that promise less than this are not confirmed: 4.5 standard deviations under 0.75.
-PROMISE = 0.65
-#: Members of a candidate bucket are compared in tiles of so many; so many partners of one member are confirmed in the first round, all others in the second.
-TILE, PARTNERS = 1024, 16
+#: Members of a candidate bucket are compared in tiles of so many.
+TILE = 512
+#: How far 32 bits of each shingle may misstate an intersection or a union; such pairs are confirmed like all others.
+SLACK = 2
 #: Ids up to this many (8 bytes each) are broadcast to pick out texts; above it the texts are shuffled by id.
 BROADCAST_IDS = 2_000_000
 
@@ -105,10 +105,10 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int64()), pa.array(digest, pa.binary()), pa.ListArray.from_arrays(pa.array(offs), pa.array(flat))], ["id", "n", "digest", "bands"])
 
 
-def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        out = [(signature(found) & np.uint32(255)).astype(np.uint8).tobytes() if d else b"" for found, d in shingle_sets(batch.column(1))]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["id", "sketch"])
+        out = [(found >> np.uint64(32)).astype(np.uint32).tobytes() for found, _ in shingle_sets(batch.column(1))]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["id", "shingles"])
 
 
 def _confirm(group: pd.DataFrame) -> pd.DataFrame:
@@ -124,23 +124,39 @@ def _confirm(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"a": np.full(len(out), group["a"].iloc[at], np.int64), "b": np.array(out, np.int64)})
 
 
-def _tile(most: int):
-    def pairs(group: pd.DataFrame) -> pd.DataFrame:
-        """Rows of one tile of a bucket: of each minor member the most promising partners of other components."""
-        minor, rest = group[group["role"] == 0], group[group["role"] == 1]
-        if minor.empty or rest.empty:
-            return pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
-        y = np.frombuffer(b"".join(rest["sketch"]), np.uint8).reshape(len(rest), -1)
-        ids, comp, out = rest["id"].to_numpy(), rest["comp"].to_numpy(), []
-        for i, c, s in zip(minor["id"], minor["comp"], minor["sketch"], strict=True):
-            same = (y == np.frombuffer(s, np.uint8)).mean(1)
-            same = (same - 1 / 256) / (1 - 1 / 256)
-            ok = np.flatnonzero((same >= PROMISE) & (comp != c))
-            ok = ok[np.argsort(-same[ok], kind="stable")[:most]]
-            out += [(min(i, j), max(i, j)) for j in ids[ok].tolist()]
-        return pd.DataFrame(out, columns=["a", "b"], dtype=np.int64)
+def _tile(group: pd.DataFrame) -> pd.DataFrame:
+    """Rows of one tile of a bucket (role 0: minor members, 1: all): links to confirm between different components.
 
-    return pairs
+    For each minor member and each other component the most similar of its
+    members, and any other pair so close to the share that the 32 bits kept of
+    each shingle might decide it. All that is left out is certainly no link, or
+    joins components that the pairs given join as well.
+    """
+    minor, rest = group[group["role"] == 0], group[group["role"] == 1]
+    out: set[tuple[int, int]] = set()
+    if len(minor) and len(rest):
+        sets = [np.frombuffer(x, np.uint32) for x in rest["shingles"]]
+        size = np.array([len(x) for x in sets])
+        values, code = np.unique(np.concatenate(sets), return_inverse=True)
+        first = np.cumsum(size) - size
+        ids, comp = rest["id"].to_numpy(), rest["comp"].to_numpy()
+        mark = np.zeros(len(values), np.int64)
+        for i, c, x in zip(minor["id"].tolist(), minor["comp"], minor["shingles"], strict=True):
+            own = np.frombuffer(x, np.uint32)
+            at = np.minimum(np.searchsorted(values, own), len(values) - 1)
+            at = at[values[at] == own]
+            mark[at] = 1
+            both = np.add.reduceat(mark[code], first)
+            mark[at] = 0
+            union = len(own) + size - both
+            near = np.flatnonzero((SHARE[1] * (both + SLACK) >= SHARE[0] * (union - SLACK)) & (comp != c))
+            close = SHARE[1] * (both - SLACK) < SHARE[0] * (union + SLACK)
+            best: dict[int, int] = {}
+            for j in near[np.argsort(-(both[near] / np.maximum(union[near], 1)), kind="stable")].tolist():
+                if close[j] or comp[j] not in best:
+                    best.setdefault(comp[j], j)
+                    out.add((min(i, int(ids[j])), max(i, int(ids[j]))))
+    return pd.DataFrame(sorted(out), columns=["a", "b"], dtype=np.int64)
 
 
 def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -149,10 +165,10 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     Steps: (1) signatures in one scan; rows with the same word sequence form a
     class and only its smallest id goes on; (2) buckets of equal band keys, each
     member paired with the bucket's smallest id; (3) pairs confirmed on full
-    sets, components; (4) as long as a bucket holds several components, members
-    outside the bucket's most frequent component are compared with all others in
-    bounded tiles by sketch, promising pairs are confirmed and joined, so that a
-    large bucket costs no pair within what is already connected.
+    sets, components; (4) in buckets that still hold several components,
+    members outside the most frequent one are compared with all others by their
+    shingles, in bounded tiles, and what links components is confirmed: a large
+    bucket costs no pair within what is already connected, and no link is lost.
 
     Nulls: a null text has no words; a row with a null id has the smallest id of
     its class as component, or null. Rows that repeat an id count as one
@@ -164,7 +180,7 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     with Scratch(spark) as scratch:
         signed = scratch.table(texts.mapInArrow(_signed, "id long, n long, digest binary, bands array<long>"), "signed")
-        classes = signed.where("digest is not null").groupBy("digest").agg(F.min("id").alias("rep"))
+        classes = scratch.table(signed.where("digest is not null").groupBy("digest").agg(F.min("id").alias("rep")), "classes")
         # an id that several rows carry with different texts ties their classes together
         single = signed.where("id is not null and digest is not null")
         reps = single.join(classes.where("rep is not null").select(F.col("digest").alias("__d"), "rep"), (F.col("digest") == F.col("__d")) & (F.col("id") == F.col("rep")), "left_semi")
@@ -176,25 +192,14 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
         tied = single.groupBy("id").agg(F.min("digest").alias("x"), F.max("digest").alias("y")).where("x <> y").select("id")
         ties = ties.join(tied, F.col("b") == tied["id"], "left_semi")
         links = scratch.table(_confirmed(pairs, texts, scratch, "star"), "links0")
-        edges, tried, turn, most, sketches = links.union(ties), pairs, 0, PARTNERS, None
+        edges = links.union(ties)
         found = scratch.table(components(edges, scratch, "cc-"), "comp")
-        while True:
-            opened = _opened(members, found, scratch, turn)
-            if opened.isEmpty():
-                break
-            if sketches is None:  # what is open later is open now
-                ids = scratch.table(opened.select("id").distinct(), "openids")
-                sketches = scratch.table(_picked(texts, ids).dropDuplicates(["id"]).mapInArrow(_sketched, "id long, sketch binary"), "sketches")
-            fresh = scratch.table(_promising(opened, sketches, tried, most), f"fresh{turn}")
-            if fresh.isEmpty() and most >= TILE:
-                break
-            if not fresh.isEmpty():
-                more = scratch.table(_confirmed(fresh, texts, scratch, f"turn{turn}"), f"links{turn + 1}")
-                if not more.isEmpty():
-                    edges = edges.union(more)
-                    found = scratch.table(components(edges, scratch, f"cc{turn}-"), f"comp{turn}")
-                tried = tried.union(fresh)
-            turn, most = turn + 1, TILE
+        opened = _opened(members, found, scratch)
+        if not opened.isEmpty():
+            fresh = scratch.table(_linking(opened, texts, scratch), "fresh")
+            more = scratch.table(_confirmed(fresh, texts, scratch, "rest"), "links1")
+            if not more.isEmpty():
+                found = scratch.table(components(edges.union(more), scratch, "cc1-"), "comp1")
         named = classes.select(F.col("digest").alias("__d"), "rep").join(found.select("node", "component"), F.col("rep") == F.col("node"), "left").select("__d", F.coalesce("component", "rep").alias("component"))
         named = scratch.table(named, "named")  # both sides of the next join are then dealt anew, and a class of many copies can be split
         out = signed.select("id", "n", "digest").join(named, F.col("digest") == F.col("__d"), "left")
@@ -221,22 +226,23 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, scratch: Scratch, name: str)
     return member.union(hub).groupBy("a", "chunk").applyInPandas(_confirm, "a long, b long")
 
 
-def _opened(members: DataFrame, found: DataFrame, scratch: Scratch, turn: int) -> DataFrame:
+def _opened(members: DataFrame, found: DataFrame, scratch: Scratch) -> DataFrame:
     """Members of the buckets that still hold several components; a bucket of two was settled by its one pair."""
     tagged = members.join(found, F.col("id") == F.col("node"), "left").select("band", "id", F.coalesce("component", "id").alias("comp"))
     counts = tagged.groupBy("band", "comp").agg(F.count("*").alias("n"))
     mixed = counts.groupBy("band").agg(F.max_by("comp", F.struct("n", "comp")).alias("major"), F.count("*").alias("kinds"), F.sum("n").alias("n")).where("kinds > 1 and n > 2")
     mixed = mixed.select(F.col("band").alias("__b"), "major", F.ceil(F.col("n") / TILE).cast("int").alias("tiles"))
-    return scratch.table(tagged.join(mixed, F.col("band") == F.col("__b")).select("band", "id", "comp", "major", "tiles"), f"open{turn}")
+    return scratch.table(tagged.join(mixed, F.col("band") == F.col("__b")).select("band", "id", "comp", "major", "tiles"), "open")
 
 
-def _promising(opened: DataFrame, sketches: DataFrame, tried: DataFrame, most: int) -> DataFrame:
-    """Untried pairs of promising members of one bucket in different components."""
+def _linking(opened: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
+    """Pairs to confirm between components that share a bucket; each minor member meets every other member of its bucket in one tile."""
+    ids = scratch.table(opened.select("id").distinct(), "openids")
+    sets = _picked(texts, ids).dropDuplicates(["id"]).mapInArrow(_listed, "id long, shingles binary")
     mine = F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int")
     every = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
     one, more = opened.where("tiles = 1").withColumns({"i": F.lit(0), "j": F.lit(0)}), opened.where("tiles > 1")
     rest = one.unionByName(more.withColumn("i", every).withColumn("j", mine))
     minor = one.unionByName(more.withColumn("i", mine).withColumn("j", every)).where("comp <> major")
-    tiles = minor.withColumn("role", F.lit(0)).unionByName(rest.withColumn("role", F.lit(1))).join(sketches, "id").select("band", "i", "j", "role", "id", "comp", "sketch")
-    fresh = tiles.groupBy("band", "i", "j").applyInPandas(_tile(most), "a long, b long").distinct()
-    return fresh.join(tried.select(F.col("a").alias("x"), F.col("b").alias("y")), (F.col("a") == F.col("x")) & (F.col("b") == F.col("y")), "left_anti")
+    tiles = minor.withColumn("role", F.lit(0)).unionByName(rest.withColumn("role", F.lit(1))).join(sets, "id").select("band", "i", "j", "role", "id", "comp", "shingles")
+    return tiles.groupBy("band", "i", "j").applyInPandas(_tile, "a long, b long").distinct()
