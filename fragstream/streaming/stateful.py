@@ -34,10 +34,10 @@ class _Newest(StatefulProcessor):
         known = self.newest.get()
         top = known[0] if known is not None else None
         # the newest of a batch come first, so that older ones of the same batch are dropped
-        got = pd.concat(list(rows)).sort_values("__at", ascending=False, kind="stable")
-        best = max(int(got["__at"].iloc[0]), top if top is not None else int(got["__at"].iloc[0]))
+        got = pd.concat(list(rows)).sort_values("at_micros", ascending=False, kind="stable")
+        best = max(int(got["at_micros"].iloc[0]), top if top is not None else int(got["at_micros"].iloc[0]))
         self.newest.update((best,))
-        yield got[got["__at"] >= best]
+        yield got[got["at_micros"] >= best]
 
     def close(self) -> None:
         pass
@@ -51,9 +51,9 @@ def latest_versions(stream: DataFrame, entity: str = "is_version_of", timestamp:
     ship(stream.sparkSession)
     at = F.unix_micros(F.col(timestamp).cast("timestamp"))
     known = F.col(entity).isNotNull() & F.col(timestamp).isNotNull()
-    keyed = stream.where(known).withColumn("__at", at)
+    keyed = stream.where(known).withColumn("at_micros", at)
     newest = keyed.groupBy(entity).transformWithStateInPandas(_Newest(), keyed.schema, "Append", "None")
-    return newest.drop("__at").unionByName(stream.where(~known))
+    return newest.drop("at_micros").unionByName(stream.where(~known))
 
 
 def in_order(stream: DataFrame, sink: Callable[[DataFrame, int], None], how: str = "ascending", last_version_only: bool = False):
