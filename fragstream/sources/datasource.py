@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from dataclasses import replace
 from datetime import datetime, timezone
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, GreaterThan, GreaterThanOrEqual, InputPartition, LessThan, LessThanOrEqual
@@ -26,8 +27,10 @@ _PUSHED = {GreaterThan: V.GREATER, GreaterThanOrEqual: V.GREATER_EQUAL, LessThan
 
 
 class Pages(InputPartition):
-    def __init__(self, urls: tuple[str, ...]):
-        self.urls = urls
+    """Some pages, and what a task must know of the stream."""
+
+    def __init__(self, urls: tuple[str, ...], info: Info | None = None):
+        self.urls, self.info = urls, info
 
 
 def assembled(quads: list[rdf.Quad], member: str, others: set[str], shape: Shape | None) -> list[rdf.Quad]:
@@ -93,12 +96,13 @@ class _Crawler:
         return found
 
     def parts(self, urls: list[str]) -> list[Pages]:
-        return [Pages(tuple(urls[i : i + self.batch])) for i in range(0, len(urls), self.batch)]
+        info = replace(self.info, root=None)
+        return [Pages(tuple(urls[i : i + self.batch]), info) for i in range(0, len(urls), self.batch)]
 
     def read(self, partition: Pages) -> Iterator[tuple]:
         fetcher = Fetcher(self.config.fetch)
         for url in partition.urls:
-            yield from rows_of(fetcher, url, self.info, self.config.loose)
+            yield from rows_of(fetcher, url, partition.info, self.config.loose)
 
 
 class _Batch(DataSourceReader):
