@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..shared import checkpoint
+
 
 def ordered(members: DataFrame, how: str = "ascending", timestamp: str = "timestamp", member: str = "member_id") -> DataFrame:
     """Members by time, ties by id: a range-partitioned sort."""
@@ -16,20 +18,18 @@ def ordered(members: DataFrame, how: str = "ascending", timestamp: str = "timest
 def numbered(members: DataFrame, how: str = "ascending", timestamp: str = "timestamp", member: str = "member_id", name: str = "emit_seq") -> DataFrame:
     """Adds the place of each member in the order, from 1.
 
-    No task holds more than its share: the members are range-partitioned by the
-    order, each partition numbers its rows, and the counts of the partitions
-    before it (one number a partition) are added.
+    One range-partitioned sort; each row's number within its partition comes
+    with it, and the counts of the partitions before (one number a partition)
+    are added. The sorted rows are checkpointed in between: a second evaluation
+    might draw other range bounds.
     """
-    spark = members.sparkSession
-    keys = [F.desc(timestamp) if how == "descending" else F.asc(timestamp), F.col(member)]
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    dealt = members.repartitionByRange(parts, *keys).withColumn("__part", F.spark_partition_id()).sortWithinPartitions(*keys)
-    within = F.row_number().over(Window.partitionBy("__part").orderBy(*keys))
-    counts = dealt.groupBy("__part").agg(F.count("*").alias("__n"))
-    start = F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))
-    starts = counts.select(F.col("__part").alias("__p"), F.coalesce(start, F.lit(0)).alias("__start"))
-    out = dealt.withColumn("__row", within).join(F.broadcast(starts), F.col("__part") == F.col("__p"))
-    return out.withColumn(name, (F.col("__start") + F.col("__row")).cast("bigint")).drop("__part", "__p", "__start", "__row")
+    sorted_ = checkpoint(ordered(members, how, timestamp, member).withColumn("__row", F.monotonically_increasing_id()))
+    part, row = F.shiftright("__row", 33), F.col("__row").bitwiseAND(F.lit((1 << 33) - 1))
+    counts = sorted_.groupBy(part.alias("__part")).agg(F.count("*").alias("__n"))
+    before = F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = counts.select("__part", F.coalesce(before, F.lit(0)).alias("__start"))
+    out = sorted_.withColumn("__p", part).join(F.broadcast(starts), F.col("__p") == F.col("__part"))
+    return out.withColumn(name, F.col("__start") + row + 1).drop("__row", "__p", "__part", "__start")
 
 
 def distinct_members(members: DataFrame, member: str = "member_id") -> DataFrame:
