@@ -2,46 +2,20 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..shared import checkpoint, delete_path, file_system, shared_dir
+
+__all__ = ["WORD", "Scratch", "checkpoint", "delete_path", "file_system", "held_out", "labelled_sample", "lower_ascii", "n_words", "shared_dir"]
+
 #: A word of the corpus contract: a run of anything but ASCII white space (listed one by one, which Java looks up in a table).
 WORD = r"[^\x20\x09\x0A\x0B\x0C\x0D]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder every executor and the driver can reach (``spark.checkpoint.dir``).
-
-    Only where the setting is absent and the master is local, as in tests, a
-    temporary folder of this machine takes its place; on a cluster that is an error.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if found:
-        return found.rstrip("/")
-    sc = spark.sparkContext
-    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    held = sc._jsc.sc().getCheckpointDir()
-    if held.isDefined():
-        return held.get()
-    made = tempfile.mkdtemp(prefix="fragstream-")
-    atexit.register(shutil.rmtree, made, True)
-    sc.setCheckpointDir(f"file://{made}")
-    return f"file://{made}"
-
-
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Reliable, eager checkpoint in the shared folder; Spark removes it when nothing refers to it any more."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(True)
-
-
 class Scratch:
     """Parquet tables in the shared folder that one operator call writes, reads and drops again."""
 
@@ -63,18 +37,6 @@ class Scratch:
         delete_path(self.spark, f"{self.root}/{name}")
 
 
-def file_system(spark: SparkSession, path: str):
-    """(Hadoop file system of the path, function that makes a Hadoop path)."""
-    jvm = spark.sparkContext._jvm
-    make = jvm.org.apache.hadoop.fs.Path
-    return make(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), make
-
-
-def delete_path(spark: SparkSession, path: str) -> None:
-    fs, make = file_system(spark, path)
-    fs.delete(make(path), True)
-
-
 def lower_ascii(c: Column) -> Column:
     """A-Z to a-z and nothing else; ``lower`` would also change letters beyond ASCII."""
     return F.when(F.length(c) == F.octet_length(c), F.lower(c)).otherwise(F.translate(c, UPPER, LOWER))
