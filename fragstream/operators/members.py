@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import paths, scalars
 from ..functions import terms as V
+from ..shared import checkpoint
 
 
 def listed(quads: DataFrame, stream: str | None = None) -> DataFrame:
@@ -36,13 +37,14 @@ def page_metadata(quads: DataFrame) -> DataFrame:
     return quads.groupBy("page_url").agg(when("created").alias("created"), when("modified").alias("updated"), n.alias("member_count"))
 
 
-def described(quads: DataFrame, members: DataFrame, shape_paths: tuple[str, ...] = (), only_default_graph: bool = False, nested: bool = True, most_hops: int = 6) -> DataFrame:
+def described(quads: DataFrame, members: DataFrame, shape_paths: tuple[str, ...] = (), only_default_graph: bool = False, nested: bool = True) -> DataFrame:
     """(page_url, member_id, quads): the quads that belong to each member.
 
     A member owns the quads of its named graph, those it is the subject of and,
     step by step, those of the blank nodes they lead to and of the objects of
     ``shape_paths``. Other members, and graphs of ingestion metadata, are borders.
-    Each hop joins the frontier of owned subjects, by page, with the page's quads.
+    Each hop joins the frontier of owned subjects, by page, with the page's quads;
+    it ends with the first that reaches no new subject.
     """
     q = quads.where(F.col("g.value") != V.INGESTION)
     if only_default_graph:
@@ -50,17 +52,24 @@ def described(quads: DataFrame, members: DataFrame, shape_paths: tuple[str, ...]
     q = q.withColumn("quad", F.struct("s", "p", "o", "g"))
     border = members.select(F.col("page_url").alias("__bp"), F.col("member_id").alias("__b")).distinct()
     owned = members.select("page_url", "member_id", F.lit(V.IRI).alias("t"), F.col("member_id").alias("v")).distinct()
+    right = q.select(F.col("page_url").alias("__p"), F.col("s.type").alias("__t"), F.col("s.value").alias("__v"), "quad")
+    same = (F.col("page_url") == F.col("__p")) & (F.col("t") == F.col("__t")) & (F.col("v") == F.col("__v"))
     found, frontier = None, owned
-    for _ in range(most_hops):
-        right = q.select(F.col("page_url").alias("__p"), F.col("s.type").alias("__t"), F.col("s.value").alias("__v"), "quad")
-        got = frontier.join(right, (F.col("page_url") == F.col("__p")) & (F.col("t") == F.col("__t")) & (F.col("v") == F.col("__v"))).select("page_url", "member_id", "quad")
+    while True:
+        got = frontier.join(right, same).select("page_url", "member_id", "quad")
         found = got if found is None else found.unionByName(got)
         if not nested:
             break
-        follows = (F.col("quad.o.type") == V.BLANK) | ((F.col("quad.o.type") == V.IRI) & F.col("quad.p").isin(list(shape_paths)) if shape_paths else F.lit(False))
+        follows = F.col("quad.o.type") == V.BLANK
+        if shape_paths:
+            follows = follows | ((F.col("quad.o.type") == V.IRI) & F.col("quad.p").isin(list(shape_paths)))
         ahead = got.where(follows).select("page_url", "member_id", F.col("quad.o.type").alias("t"), F.col("quad.o.value").alias("v")).distinct()
         ahead = ahead.join(border, (F.col("page_url") == F.col("__bp")) & (F.col("v") == F.col("__b")), "left_anti")
-        frontier = ahead.join(owned.withColumnsRenamed({"page_url": "__p", "member_id": "__m", "t": "__t", "v": "__v"}), (F.col("page_url") == F.col("__p")) & (F.col("member_id") == F.col("__m")) & (F.col("t") == F.col("__t")) & (F.col("v") == F.col("__v")), "left_anti")
+        known = owned.withColumnsRenamed({"page_url": "__p", "member_id": "__m", "t": "__t", "v": "__v"})
+        # most members end after a hop or two: look, instead of planning hops that find nothing
+        frontier = checkpoint(ahead.join(known, same & (F.col("member_id") == F.col("__m")), "left_anti"))
+        if frontier.isEmpty():
+            break
         owned = owned.unionByName(frontier)
     if not only_default_graph:
         graph = q.select(F.col("page_url").alias("__p"), F.col("g.value").alias("__g"), "quad")

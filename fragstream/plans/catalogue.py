@@ -7,11 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import scalars
+from ..functions import partial_dates, paths, rdf, scalars
 from ..functions import terms as V
 from ..operators import members as member_ops
 from ..operators import ordering, relations, versions
-from ..operators.conditions import And, MaxCount, Or, over_columns, window
+from ..operators.conditions import And, MaxCount, Or, over_columns, over_quads, window
 from ..sources import sinks
 from . import crawl, tabular
 from .tabular import EVENTS, ORDERS, TIME, leaf
@@ -280,6 +280,58 @@ def progress_counters(spark, d):
     return df.agg(F.count("*").alias("member_count"), F.count_distinct(F.to_date("timestamp")).alias("fragment_count"), F.count_distinct("is_version_of").alias("entity_count"))
 
 
+@query
+def partial_date_intervals(spark, d):
+    """The interval of each day, month and year that events fall on, as links carry them."""
+    days = _events(spark, d).select(F.explode(F.array(*(F.struct(F.lit(k).alias("unit"), F.date_format("timestamp", f).alias("lexical")) for k, f in (("day", "yyyy-MM-dd"), ("month", "yyyy-MM"), ("year", "yyyy")))))).select("col.*").distinct()
+    made = F.when(F.col("unit") == "day", partial_dates.interval(F.col("lexical"), "date", "Z")).when(F.col("unit") == "month", partial_dates.interval(F.col("lexical"), "gYearMonth", "Z")).otherwise(partial_dates.interval(F.col("lexical"), "gYear", "Z"))
+    return days.withColumn("i", made).select("unit", "lexical", F.col("i.min").alias("lower_bound"), F.col("i.max").alias("upper_bound"))
+
+
+def _quads(spark, d):
+    """Events as members with two quads each."""
+    none = F.lit(None).cast("string")
+    iri = lambda c: F.struct(F.lit(V.IRI).alias("type"), c.alias("value"), none.alias("datatype"), none.alias("lang"))
+    text = lambda c: F.struct(F.lit(V.LITERAL).alias("type"), c.alias("value"), F.lit(V.STRING).alias("datatype"), none.alias("lang"))
+    graph = F.struct(F.lit(V.DEFAULT).alias("type"), F.lit("").alias("value"), none.alias("datatype"), none.alias("lang"))
+    name = lambda kind, c: F.concat(F.lit(f"urn:{kind}:"), c.cast("string"))
+    quad = lambda p, o: F.struct(iri(F.col("member_id")).alias("s"), F.lit(p).alias("p"), o.alias("o"), graph.alias("g"))
+    df = _events(spark, d).select(name("event", F.col("member_id")).alias("member_id"), name("user", F.col("is_version_of")).alias("is_version_of"), "timestamp", "type")
+    return df.withColumn("quads", F.array(quad("urn:of", iri(F.col("is_version_of"))), quad("urn:type", text(F.col("type")))))
+
+
+@query
+def members_as_nquads(spark, d):
+    return sinks.text(_quads(spark, d))
+
+
+@query
+def materialized_nquads(spark, d):
+    """Members renamed to their entity: the version link is gone, the subject rewritten."""
+    return versions.materialize(_quads(spark, d), "urn:of").select("member_id", rdf.nquads(F.col("quads")).alias("value"))
+
+
+@query
+def path_values(spark, d):
+    """The first value of a path over each member's quads, as conditions on payloads read it."""
+    df = _quads(spark, d)
+    own = over_quads()(paths.iri("urn:type"))
+    return df.where(leaf("urn:type", V.GREATER_EQUAL, "p").column(over_quads())).select("member_id", own.alias("value"))
+
+
+@query
+def page_links_grouped(spark, d):
+    """How many links each page of the calendar has, by kind."""
+    return tabular.calendar_links(_events(spark, d)).groupBy(F.col("node").cast("date").alias("page")).agg(F.count_if(F.col("type") == V.GREATER_EQUAL).alias("lower_links"), F.count_if(F.col("type") == V.LESS).alias("upper_links"))
+
+
+@query
+def latest_marker_descending(spark, d):
+    """Descending emission: members later than the greatest upper bound still pending."""
+    pending = tabular.calendar_ranges(_within(spark, d, before="2024-01-12T00:00:00Z"))
+    return ordering.inside_marker(_events(spark, d), pending.agg(F.max("high").alias("marker")), descending=True).select("member_id", F.col("timestamp").alias("ts"))
+
+
 @query
 def page_hosts(spark, d):
     return spark.read.parquet(f"{d}/pages.parquet").select("page_id", scalars.host(F.col("url")).alias("host"), scalars.origin(F.col("url")).alias("origin"))
@@ -336,4 +388,12 @@ ORACLE: dict[str, str] = {
     "cond_json_payload": """SELECT event_id AS member_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events WHERE CAST(json_extract_string(props, '$.k') AS BIGINT) > 50""",
     "max_count_in_or": """SELECT event_id AS member_id, event_type FROM events WHERE event_type = 'purchase' OR event_id IN (SELECT event_id FROM events ORDER BY event_id LIMIT 50)""",
     "page_hosts": """SELECT page_id, regexp_extract(url, '^[a-z]+://([^/:?#]+)', 1) AS host, regexp_extract(url, '^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]+)', 1) AS origin FROM pages""",
+    "partial_date_intervals": """SELECT DISTINCT 'day' AS unit, strftime(ts, '%Y-%m-%d') AS lexical, date_trunc('day', ts) AS lower_bound, date_trunc('day', ts) + INTERVAL 1 DAY AS upper_bound FROM events
+UNION SELECT DISTINCT 'month', strftime(ts, '%Y-%m'), date_trunc('month', ts), date_trunc('month', ts) + INTERVAL 1 MONTH FROM events
+UNION SELECT DISTINCT 'year', strftime(ts, '%Y'), date_trunc('year', ts), date_trunc('year', ts) + INTERVAL 1 YEAR FROM events""",
+    "members_as_nquads": """SELECT '<urn:event:' || event_id || '> <urn:of> <urn:user:' || user_id || '> .' || chr(10) || '<urn:event:' || event_id || '> <urn:type> "' || event_type || '" .' || chr(10) AS value FROM events""",
+    "materialized_nquads": """SELECT 'urn:user:' || user_id AS member_id, '<urn:user:' || user_id || '> <urn:type> "' || event_type || '" .' || chr(10) AS value FROM events""",
+    "path_values": """SELECT 'urn:event:' || event_id AS member_id, event_type AS value FROM events WHERE event_type >= 'p'""",
+    "page_links_grouped": """SELECT CAST(ts AS DATE) AS page, CAST(1 AS BIGINT) AS lower_links, CAST(1 AS BIGINT) AS upper_links FROM events GROUP BY CAST(ts AS DATE)""",
+    "latest_marker_descending": """SELECT event_id AS member_id, ts FROM events WHERE ts > (SELECT max(date_trunc('day', ts) + INTERVAL 1 DAY) FROM events WHERE ts < TIMESTAMP '2024-01-12 00:00:00')""",
 }
