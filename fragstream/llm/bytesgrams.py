@@ -32,12 +32,16 @@ def slices(texts: pa.Array, most: int = 1 << 20) -> Iterator[tuple[int, int, np.
     """(first row, row after, bytes, offsets) of runs of rows with about ``most`` bytes; nulls are empty texts."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
-    texts = texts.fill_null("").cast(pa.large_string())
     n = len(texts)
     if not n:
         return
-    _, offs, data = texts.buffers()
-    off = np.frombuffer(offs, np.int64)[texts.offset : texts.offset + n + 1]
+    width = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+    off = lambda t: np.frombuffer(t.buffers()[1], width)[t.offset : t.offset + n + 1].astype(np.int64)
+    found = off(texts)
+    if texts.null_count and np.diff(found)[np.asarray(texts.is_null())].any():  # a null may hide bytes
+        texts = texts.fill_null("")
+        found = off(texts)
+    data, off = texts.buffers()[2], found
     raw = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
     a = 0
     while a < n:

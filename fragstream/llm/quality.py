@@ -16,7 +16,7 @@ from .bytesgrams import SPACE, ngrams, slices, word_hashes, words
 from .common import held_out, labelled_sample
 
 #: Labelled rows to learn from at most; each is a whole text.
-TRAIN_ROWS = 3000
+TRAIN_ROWS = 2000
 BITS, GRAMS, DIM = 17, (2, 3, 4), 10
 #: How many features a repeated word counts as, beside the n-grams of its bytes.
 REPEATED = 8
@@ -73,19 +73,24 @@ def train(rows: list[tuple[str, int]], classes: int = 2) -> Model:
     if len(set(y.tolist())) < 2:
         share = float(y.mean()) if len(y) else 0.5
         return Model(np.zeros(1 << BITS, np.float32), float(np.log(max(share, 1e-3) / max(1 - share, 1e-3))))
-    docs = []
+    # all features one after the other in two large arrays, which go back to the system as a whole
+    ids, shares, ends = np.empty(1 << 20, np.int32), np.empty(1 << 20, np.float32), [0]
     for _, _, data, off in slices(pa.array([t for t, _ in rows]), 1):  # row by row
         found, count = np.unique(np.concatenate([b for b, _ in features(data, off)]), return_counts=True)
-        docs.append((found, (count / max(1, count.sum())).astype(np.float32)))
+        ends.append(ends[-1] + len(found))
+        if ends[-1] > len(ids):
+            more = max(len(ids), len(found))
+            ids, shares = np.concatenate([ids, np.empty(more, np.int32)]), np.concatenate([shares, np.empty(more, np.float32)])
+        ids[ends[-2] : ends[-1]], shares[ends[-2] : ends[-1]] = found, count / max(1, count.sum())
     rng = np.random.default_rng(SEED)
     vectors = rng.uniform(-1 / DIM, 1 / DIM, (1 << BITS, DIM)).astype(np.float32)
     out = np.zeros((DIM, classes), np.float32)
     bias = np.zeros(classes, np.float32)
     balance = len(y) / (classes * np.maximum(np.bincount(y, minlength=classes), 1))
-    steps, done = EPOCHS * len(docs), 0
+    steps, done = EPOCHS * len(y), 0
     for _ in range(EPOCHS):
-        for i in rng.permutation(len(docs)):
-            found, share = docs[i]
+        for i in rng.permutation(len(y)):
+            found, share = ids[ends[i] : ends[i + 1]], shares[ends[i] : ends[i + 1]]
             rate = np.float32(RATE * (1 - done / steps) * balance[y[i]] ** 0.5)
             done += 1
             hidden = share @ vectors[found]

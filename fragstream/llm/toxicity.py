@@ -89,9 +89,10 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(out, -50, 50)))
 
 
-def _counted(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(buckets, counts) of each text."""
-    return [np.unique(np.concatenate([b for b, _ in features(data, off)]), return_counts=True) for _, _, data, off in slices(pa.array(texts, pa.string()), 1)]
+def _counted(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(buckets, counts) of each text in turn: what is held does not grow with the rows."""
+    for _, _, data, off in slices(pa.array(texts, pa.string()), 1):
+        yield np.unique(np.concatenate([b for b, _ in features(data, off)]), return_counts=True)
 
 
 def _evidence(a: np.ndarray, b: np.ndarray, n1: float, n0: float) -> np.ndarray:
@@ -113,11 +114,10 @@ def train(rows: list[tuple[str, int]], fairness: float = FAIRNESS) -> Model:
     if share in (0.0, 1.0):
         return alike
     rng = np.random.default_rng(SEED)
-    own = _counted([t for t, _ in rows])
-    twins = [(i, s) for i, (t, _) in enumerate(rows) if (s := swapped(t, rng)) is not None]
-    other = dict(zip((i for i, _ in twins), _counted([s for _, s in twins]), strict=True))
+    texts = [t for t, _ in rows]
+    twins = {i: s for i, t in enumerate(texts) if (s := swapped(t, rng)) is not None}
     df = np.zeros((2, 1 << BITS))
-    for (found, _), label in zip(own, y, strict=True):
+    for (found, _), label in zip(_counted(texts), y, strict=True):
         df[int(label), found] += 1
     n1, n0 = y.sum(), len(y) - y.sum()
     worth = _evidence(df[1], df[0], n1, n0)
@@ -130,16 +130,14 @@ def train(rows: list[tuple[str, int]], fairness: float = FAIRNESS) -> Model:
     slot = np.zeros(1 << BITS, np.int32)
     slot[kept] = np.arange(1, len(kept) + 1)
 
-    def flat(sets: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def flat(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(feature, value, row) of all kept features of some texts."""
-        n = [len(found) for found, _ in sets]
-        f, v, r = (np.concatenate([f for f, _ in sets]), np.concatenate([c for _, c in sets]), np.repeat(np.arange(len(n)), n)) if n else (np.zeros(0, int),) * 3
-        ok = slot[f] > 0
-        return slot[f][ok] - 1, np.log2(1 + v[ok]), r[ok]
-
-    cols, val, at = flat(own)
-    order = sorted(other)
-    tcols, tval, tat = flat([other[i] for i in order])
+        parts = [(slot[f][ok] - 1, np.log2(1 + n[ok]), np.full(ok.sum(), r)) for r, (f, n) in enumerate(_counted(texts)) for ok in [slot[f] > 0]]
+        return tuple(np.concatenate([np.zeros(0, t), *(p[k] for p in parts)]) for k, t in enumerate((int, float, int)))
+
+    cols, val, at = flat(texts)
+    order = sorted(twins)
+    tcols, tval, tat = flat([twins[i] for i in order])
     order = np.array(order, int)
     w, b, speed_w, speed_b = np.zeros(len(kept)), 0.0, np.zeros(len(kept)), 0.0
     weight = np.where(y == 1, 0.5 / n1, 0.5 / n0)
