@@ -23,6 +23,9 @@ ANY_CASE_WORD = "[^" + "".join(rf"\x{c:02X}" for c in _OTHER) + "]+"
 WORD = "[^" + "".join(rf"\x{c:02X}" for c in [*_OTHER, *range(65, 91)]) + "]+"
 #: Windows up to this many are broadcast (8 bytes each in the scan); a larger set is joined by a shuffle.
 BROADCAST_WINDOWS = 2_000_000
+#: With their words and items (some 200 bytes each), for the verification, only this many.
+BROADCAST_GRAMS = 200_000
+#: Ids of documents to drop up to this many, or a hundredth of it with their hits, are broadcast.
 BROADCAST_DOCS = 2_000_000
 
 
@@ -67,7 +70,8 @@ def contaminated_windows(docs: DataFrame, bench: DataFrame, scratch: Scratch, id
     empty = "key {}, copy long, hits array<struct<pos:int,size:int>>, n_hit long, items array<string>".format(docs.schema[id_col].dataType.simpleString())
     if not sizes:
         return docs.sparkSession.createDataFrame([], empty)
-    few = windows.count() <= BROADCAST_WINDOWS
+    n_windows = windows.count()
+    few = n_windows <= BROADCAST_WINDOWS
     wanted = windows.select("hash").distinct()
     scanned = texts.select("key", F.xxhash64("text").alias("copy"), F.posexplode(_scan(F.col("text"), sizes)).alias("which", "hashes"))
     scanned = scanned.select("key", "copy", "which", F.posexplode("hashes").alias("pos", "hash"))
@@ -81,7 +85,7 @@ def contaminated_windows(docs: DataFrame, bench: DataFrame, scratch: Scratch, id
     grams = F.element_at(F.transform(F.array(_words(lower_ascii(F.col("text")))), lambda w: F.transform("hits", lambda h: F.struct(h["pos"].alias("pos"), h["size"].alias("size"), F.array_join(F.slice(w, h["pos"] + 1, h["size"]), " ").alias("gram")))), 1)
     each = some.select("key", "copy", F.explode(grams).alias("h")).select("key", "copy", "h.*")
     right = windows.select(F.col("gram").alias("__g"), F.col("size").alias("__s"), "items")
-    sure = each.join(F.broadcast(right) if few else right, (F.col("gram") == F.col("__g")) & (F.col("size") == F.col("__s")))
+    sure = each.join(F.broadcast(right) if n_windows <= BROADCAST_GRAMS else right, (F.col("gram") == F.col("__g")) & (F.col("size") == F.col("__s")))
     per_doc = sure.groupBy("key", "copy").agg(F.collect_set(F.struct("pos", "size")).alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
     covered = F.size(F.array_distinct(F.flatten(F.transform("hits", lambda h: F.sequence(h["pos"], h["pos"] + h["size"] - 1)))))
     return per_doc.select("key", "copy", "hits", covered.cast("long").alias("n_hit"), "items")

@@ -80,7 +80,7 @@ class TokenRollup:
             if batch_id in now.get("batches", ()):
                 return False
             delta = f"delta-{batch_id}"
-            self._sums(changes).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/{delta}")  # as few rows as there are groups
+            self._sums(changes).write.mode("overwrite").parquet(f"{self.path}/{delta}")
             tables = [*now.get("tables", []), delta]
             try:
                 self.log.commit(version + 1, {"batches": [*now.get("batches", []), batch_id], "tables": tables})
@@ -94,7 +94,7 @@ class TokenRollup:
         """Replaces all deltas by one table; the totals stay as they are."""
         version, now = self.log.latest()
         base = f"base-{version + 1:08}"
-        self.totals().coalesce(1).write.mode("overwrite").parquet(f"{self.path}/{base}")
+        self.totals().write.mode("overwrite").parquet(f"{self.path}/{base}")
         self.log.commit(version + 1, now | {"tables": [base]})
 
     def totals(self, version: int | None = None) -> DataFrame:

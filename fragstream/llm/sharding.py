@@ -21,6 +21,8 @@ from .manifest import Manifests
 TARGET_BYTES, FLOOR_BYTES, FAN_IN = 32 << 20, 1 << 18, 4
 #: Groups merged by one Spark job, each in a task of its own.
 GROUPS_A_JOB = 64
+#: Manifests of up to so many shards (some 100 bytes each) are broadcast; longer ones are joined as the engine sees fit.
+BROADCAST_SHARDS = 100_000
 
 
 @dataclass(frozen=True)
@@ -138,9 +140,9 @@ class ShardStore:
         docs = self.read()
         if not found:
             return docs.withColumns({"shard": F.lit(0), "shard_bytes": F.lit(0).cast("long")}).limit(0)
-        listed = self.spark.createDataFrame([(s.path, i, s.bytes) for i, s in enumerate(found)], "__file string, shard int, shard_bytes long")  # as long as the manifest
+        listed = self.spark.createDataFrame([(s.path, i, s.bytes) for i, s in enumerate(found)], "__file string, shard int, shard_bytes long")
         named = docs.withColumn("__file", F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+/[^/]+)$", 1))
-        return named.join(F.broadcast(listed), "__file").drop("__file")
+        return named.join(F.broadcast(listed) if len(found) <= BROADCAST_SHARDS else listed, "__file").drop("__file")
 
 
 def shard(docs: DataFrame, path: str, **sizes) -> ShardStore:
@@ -161,5 +163,5 @@ def shard_of(docs: DataFrame, id_col: str = "doc_id", **sizes) -> DataFrame:
     """(id, shard, shard_bytes, shard_rows) of every row, once the documents are sharded in a store that is dropped again."""
     with Scratch(docs.sparkSession) as scratch:
         rows = scratch.table(shard(docs, f"{scratch.root}/store", **sizes).numbered().select(id_col, "shard", "shard_bytes"), "numbered")
-        counts = rows.groupBy("shard").agg(F.count("*").alias("shard_rows"))  # a row a shard
-        return checkpoint(rows.join(F.broadcast(counts), "shard").select(id_col, "shard", "shard_bytes", "shard_rows"))
+        counts = scratch.table(rows.groupBy("shard").agg(F.count("*").alias("shard_rows")), "counts")  # a row a shard
+        return checkpoint(rows.join(F.broadcast(counts) if counts.count() <= BROADCAST_SHARDS else counts, "shard").select(id_col, "shard", "shard_bytes", "shard_rows"))
