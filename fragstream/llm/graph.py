@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch
 
+#: With more edges, the smallest neighbours are written before they are joined: only a join of
+#: two tables as they lie can have the rows of a node with very many edges split between tasks.
+SPLIT_EDGES = 1_000_000
 
 def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     """(node, component): for each end of an edge the smallest node it is connected with.
@@ -14,28 +19,36 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     ``edges`` has the long columns a and b. Alternates large-star and small-star
     (Kiveris et al., 2014) until the edges stay the same: every node then hangs
     on the smallest of its component. Both steps are a map-side combinable min by
-    node and a join back, so a node with very many edges is no hot group.
+    node and a join back.
     An empty list gives an empty result; loops and null ends are left out.
     """
     both = lambda e: e.select("a", "b").union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    names = (f"{name}low{i}" for i in itertools.count())
+
+    def lowest(e: DataFrame, many: bool) -> DataFrame:
+        """(n, m): the smallest neighbour of each node."""
+        low = e.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "n")
+        return scratch.table(low, next(names)) if many else low
 
-    def large(e: DataFrame) -> DataFrame:
+    def large(e: DataFrame, many: bool) -> DataFrame:
         e = both(e)
-        low = e.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("n"), F.least("a", "m").alias("m"))
+        low = lowest(e, many).withColumn("m", F.least("n", "m"))
         return e.where("b > a").join(low, F.col("a") == F.col("n")).select(F.col("b").alias("a"), F.col("m").alias("b"))
 
-    def small(e: DataFrame) -> DataFrame:
+    def small(e: DataFrame, many: bool) -> DataFrame:
         e = e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        low = e.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "n")
+        low = lowest(e, many)
         joined = e.join(low, F.col("a") == F.col("n"))
         return joined.select(F.col("b").alias("a"), F.col("m").alias("b")).union(low.select(F.col("n").alias("a"), F.col("m").alias("b"))).where("a <> b").distinct()
 
-    now, seen, turn = edges.select("a", "b").where("a <> b").distinct(), None, 0
+    now = scratch.table(edges.select("a", "b").where("a <> b").distinct(), f"{name}0")
+    seen, turn = (now.count(), None), 0
     while True:
-        now = scratch.table(small(large(now)), f"{name}{turn}")
-        mark = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first()
-        if turn:
-            scratch.drop(f"{name}{turn - 1}")
+        many = seen[0] > SPLIT_EDGES
+        next_ = large(now, many)
+        now = scratch.table(small(scratch.table(next_, f"{name}l{turn}") if many else next_, many), f"{name}{turn + 1}")
+        mark = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first())
+        scratch.drop(f"{name}{turn}")
         if mark == seen:
             break
         seen, turn = mark, turn + 1
