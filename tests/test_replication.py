@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from fragstream.functions import paths
 from fragstream.functions import terms as V
 from fragstream.operators.conditions import And, Leaf, MaxCount, Or
-from fragstream.plans.replicate import replicate
+from fragstream.plans.replicate import replicate as replicate_with
 from fragstream.plans.state import DifferentConditions
 from fragstream.sources import sinks
 
@@ -13,6 +13,10 @@ from . import streams
 EX = "http://example.org/ns#"
 
 
+def replicate(spark, url, **options):
+    return replicate_with(spark, url, **{"concurrent_fetches": 2} | options)
+
+
 def times(df):
     return [r.timestamp for r in df.collect()]
 
