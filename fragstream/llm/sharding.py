@@ -46,7 +46,7 @@ def plan_merges(shards: list[Shard], target: int = TARGET_BYTES, floor: int = FL
     """
     open_ = [s for s in shards if s.bytes <= target / 2]
     tiers: dict[int, list[Shard]] = {}
-    for s in sorted(open_, key=lambda s: (s.bytes, s.path)):
+    for s in sorted(open_, key=lambda s: s.bytes):  # of equal ones the older first, so that reruns agree
         tiers.setdefault(-1 if finish else tier(s.bytes, floor, fan_in), []).append(s)
     groups = []
     for _, run in sorted(tiers.items()):
