@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +23,26 @@ LONGEST = 64  # bytes of a word with a power of its own; longer words are hashed
 POWERS = np.array([pow(int(P), i, 2**64) for i in range(LONGEST)], np.uint64)
 
 
+def lean(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A partition function after which its worker, which Spark keeps, holds no more than it needs.
+
+    Arrays from a megabyte up get pages of their own, which go back to the
+    system when they are freed; what is left over at the end is given back.
+    """
+
+    @functools.wraps(run)
+    def wrapped(batches: Iterator) -> Iterator:
+        system = ctypes.CDLL(None)
+        if hasattr(system, "mallopt"):
+            system.mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        if hasattr(system, "malloc_trim"):
+            system.malloc_trim(0)
+
+    return wrapped
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """Finaliser of splitmix64: every output bit depends on every input bit."""
     x = (x ^ (x >> np.uint64(30))) * _M1

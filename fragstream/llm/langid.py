@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..shipping import ship
-from .bytesgrams import SPACE, slices, word_hashes, words
+from .bytesgrams import SPACE, lean, slices, word_hashes, words
 from .common import held_out
 
 #: Texts to learn from at most, for each of at most so many languages; each is a whole text.
@@ -222,6 +222,7 @@ def languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
         return rows.select(F.col("__id").alias(id_col), held_out("__id", *HELD_OUT).alias("held_out"), und.alias("lang_pred"), F.lit(0.0).alias("score"))
     held = spark.sparkContext.broadcast(net)  # some thousand numbers
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = Reader(held.value)
         names = np.array(held.value.langs, object)

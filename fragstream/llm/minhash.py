@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..shipping import ship
-from .bytesgrams import FOLD, P, SPACE, mix, slices, word_hashes, words
+from .bytesgrams import FOLD, P, SPACE, lean, mix, slices, word_hashes, words
 from .common import Scratch, checkpoint
 from .graph import components
 
@@ -91,6 +91,7 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
     return key
 
 
+@lean
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         size, digest, keys, seen = [], [], [], {}
@@ -105,6 +106,7 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int64()), pa.array(digest, pa.binary()), pa.ListArray.from_arrays(pa.array(offs), pa.array(flat))], ["id", "n", "digest", "bands"])
 
 
+@lean
 def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         out = [(found >> np.uint64(32)).astype(np.uint32).tobytes() for found, _ in shingle_sets(batch.column(1))]

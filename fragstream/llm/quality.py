@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..shipping import ship
-from .bytesgrams import SPACE, ngrams, slices, word_hashes, words
+from .bytesgrams import SPACE, lean, ngrams, slices, word_hashes, words
 from .common import held_out, labelled_sample
 
 #: Labelled rows to learn from at most; each is a whole text.
@@ -119,6 +119,7 @@ def scored(docs: DataFrame, model, text_col: str = "text", score_col: str = "sco
     plain = docs.toDF(*(f"c{i}" for i in range(len(names))))  # names may hold dots
     out = [*plain.columns, "score"]
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(held.value.scores(batch.column(at)), pa.float64())], out)

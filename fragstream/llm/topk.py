@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..shipping import ship
+from .bytesgrams import lean
 from .common import Scratch, checkpoint
 
 SLICES = 4
@@ -102,6 +103,7 @@ def _one_block(rows: DataFrame, asked: DataFrame, k: int, scratch: Scratch, numb
     queries = matrix(pa.array([v for _, v in got], pa.list_(pa.int64())), max(1, dims))
     shared = spark.sparkContext.broadcast((ids, queries))
 
+    @lean
     def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, queries = shared.value
         best = np.full((k, len(ids)), -np.inf)
@@ -116,6 +118,7 @@ def _one_block(rows: DataFrame, asked: DataFrame, k: int, scratch: Scratch, numb
         at, q = np.nonzero(np.isfinite(best))
         yield pa.RecordBatch.from_arrays([pa.array(ids[q]), pa.array(best[at, q])], ["query_id", "score"])
 
+    @lean
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, queries = shared.value
         cut = cutoffs.value
