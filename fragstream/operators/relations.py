@@ -26,16 +26,14 @@ def bounds_of(links: DataFrame, zone: str = "Z") -> DataFrame:
     """
     point = F.to_timestamp_ntz(F.date_format(F.col("value").try_cast("timestamp"), "yyyy-MM-dd HH:mm:ss.SSSSSS"), F.lit("yyyy-MM-dd HH:mm:ss.SSSSSS"))
     name = F.regexp_extract(F.coalesce("datatype", F.lit("")), r"([^#/]*)$", 1)
-    part = F.coalesce(*(F.when(cond, partial_dates.interval(F.col("value"), d, zone)["min"]) for d, cond in _kinds(name)))
-    until = F.coalesce(*(F.when(cond, partial_dates.interval(F.col("value"), d, zone)["max"]) for d, cond in _kinds(name)))
+    of = F.when(F.col("type") == V.BETWEEN, F.when(name == "gYear", partial_dates.interval(F.col("value"), "gYear", zone)).when(name == "gYearMonth", partial_dates.interval(F.col("value"), "gYearMonth", zone)).when(name == "date", partial_dates.interval(F.col("value"), "date", zone)).otherwise(partial_dates.interval(F.col("value"), "string", zone)))
+    links = links.withColumn("__of", of).withColumn("__at", point)  # evaluated once, read twice
+    point, part, until = F.col("__at"), F.col("__of.min"), F.col("__of.max")
     kind = F.col("type")
     low = F.when(kind.isin(V.EQUAL, V.GREATER, V.GREATER_EQUAL), point).when(kind == V.BETWEEN, part)
     high = F.when(kind.isin(V.EQUAL, V.LESS, V.LESS_EQUAL), point).when(kind == V.BETWEEN, until)
-    return links.withColumns({"low": low, "high": high, "low_closed": kind.isin(V.EQUAL, V.GREATER_EQUAL, V.BETWEEN), "high_closed": kind.isin(V.EQUAL, V.LESS_EQUAL), "bounded": F.col("value").isNotNull()})
-
-
-def _kinds(name: Column) -> list[tuple[str, Column]]:
-    return [(d, name == d) for d in ("gYear", "gYearMonth", "date")] + [("string", ~name.isin("gYear", "gYearMonth", "date"))]
+    made = links.withColumns({"low": low, "high": high, "low_closed": kind.isin(V.EQUAL, V.GREATER_EQUAL, V.BETWEEN), "high_closed": kind.isin(V.EQUAL, V.LESS_EQUAL), "bounded": F.col("value").isNotNull()})
+    return made.drop("__of", "__at")
 
 
 def merged(links: DataFrame, keys: tuple[str, ...] = ("source", "node", "path")) -> DataFrame:

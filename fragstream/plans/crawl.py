@@ -11,6 +11,9 @@ from ..sources import pages
 from ..sources.http import FetchError
 from .config import Config
 
+#: Pages of one crawl that the driver fetches itself before tasks do.
+LOCAL_PAGES = 64
+
 
 def reachable(edges: DataFrame, root, most_levels: int | None = None) -> DataFrame:
     """(node, depth): nodes that links (src, dst) lead to from ``root``, each at the level it is found first; cycles end."""
@@ -26,18 +29,41 @@ def reachable(edges: DataFrame, root, most_levels: int | None = None) -> DataFra
     return out
 
 
-def waves(start: DataFrame, config: Config, condition: Condition, skip: DataFrame | None = None, enough=None) -> DataFrame:
+def waves(start: DataFrame, config: Config, condition: Condition, skip: DataFrame | None = None, local_pages: int = LOCAL_PAGES) -> DataFrame:
     """All pages that allowed links lead to from the addresses in ``start``, each fetched once.
 
-    A wave is one job: the frontier is dealt over as many tasks as there may be
-    fetches at a time, pages are parsed and their links pruned there, and the
-    pages are checkpointed, so that a lost executor fetches nothing again that
-    is done. ``skip`` has pages that need no fetch; ``enough(pages)`` may end the
-    crawl. A page that can't be had is an error.
+    The first few pages are fetched by the driver, which saves small crawls a job
+    a level. From then on a wave is one job: the frontier is dealt over as many
+    tasks as there may be fetches at a time, pages are parsed and their links
+    pruned there, and the pages are checkpointed, so that a lost executor fetches
+    nothing again that is done. ``skip`` has pages that need no fetch. A page
+    that can't be had is an error.
     """
-    frontier, seen, out = start.select(F.col(start.columns[0]).alias("target")).distinct(), None, None
+    spark = start.sparkSession
     if skip is not None:
         skip = skip.select(F.col(skip.columns[0]).alias("__s"))
+    first = start.select(F.col(start.columns[0]).alias("target")).distinct()
+    todo, done, seen = [r[0] for r in first.limit(local_pages + 1).collect()], [], set()
+    if len(todo) > local_pages:
+        frontier, seen_table, out = first, None, None
+    else:
+        while todo and len(done) + len(todo) <= local_pages:
+            if skip is not None:
+                known = {r[0] for r in skip.where(F.col("__s").isin(todo)).collect()}
+                seen |= known
+                todo = [u for u in todo if u not in known]
+            rows = pages.fetched(todo, config, condition)
+            if bad := next((r[-1] for r in rows if r[-1] is not None), None):
+                raise FetchError(bad)
+            done += rows
+            seen |= {x for r in rows for x in r[:2]}
+            todo = [u for u in dict.fromkeys(n.partition("#")[0] for r in rows for n in r[5]) if u not in seen]
+        out = spark.createDataFrame(done, pages.SCHEMA)
+        if not todo:
+            return out
+        frontier = spark.createDataFrame([(u,) for u in todo], "target string")
+        seen_table = spark.createDataFrame([(u,) for u in sorted(seen)], "__t string")
+    if skip is not None:
         frontier = frontier.join(skip, F.col("target") == F.col("__s"), "left_anti")
     while True:
         # a task may be as slow as its pages, whatever their bytes: deal them evenly
@@ -46,11 +72,11 @@ def waves(start: DataFrame, config: Config, condition: Condition, skip: DataFram
         if bad is not None:
             raise FetchError(bad[0])
         out = wave if out is None else out.unionByName(wave)
-        if wave.isEmpty() or (enough is not None and enough(out)):
+        if wave.isEmpty():
             return out
         fetched = wave.select(F.col("target").alias("__t")).union(wave.select(F.col("page_url").alias("__t")))
-        seen = fetched if seen is None else seen.union(fetched)
+        seen_table = fetched if seen_table is None else seen_table.union(fetched)
         ahead = wave.select(F.explode("nodes").alias("target")).select(F.regexp_extract("target", "^([^#]*)", 1).alias("target")).distinct()
-        frontier = ahead.join(seen.distinct(), F.col("target") == F.col("__t"), "left_anti")
+        frontier = ahead.join(seen_table.distinct(), F.col("target") == F.col("__t"), "left_anti")
         if skip is not None:
             frontier = frontier.join(skip, F.col("target") == F.col("__s"), "left_anti")

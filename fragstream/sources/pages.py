@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from dataclasses import replace
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -62,6 +63,12 @@ def _row(target: str, found: Document | OSError, config: Config, condition: Cond
     return (target, found.url, found.immutable, found.max_age, [dict(zip("spog", q, strict=True)) for q in named], nodes, None)
 
 
+def fetched(targets: list[str], config: Config, condition: Condition) -> list[tuple]:
+    """Rows of a few pages, fetched by the caller."""
+    found = Fetcher(replace(config.fetch, concurrent=config.concurrent_fetches)).all(targets, ACCEPT_METADATA if config.include_metadata else ACCEPT)
+    return [_row(u, d, config, condition) for u, d in zip(targets, found, strict=True)]
+
+
 def scan(targets: DataFrame, config: Config, condition: Condition) -> DataFrame:
     """A row for each distinct address in the first column of ``targets``."""
     ship(targets.sparkSession)

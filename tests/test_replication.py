@@ -40,6 +40,18 @@ def test_all_members_and_fragments(spark, site):
     assert run.member_count == 12
 
 
+def test_tasks_crawl_what_the_driver_does_not(spark, site):
+    from fragstream.operators.conditions import Condition
+    from fragstream.plans import crawl
+    from fragstream.plans.config import Config
+
+    start = spark.createDataFrame([(streams.plain(site).replace("/root", "/0"),)], "u string")
+    config = Config(url="-", concurrent_fetches=2)
+    for skip in (None, spark.createDataFrame([(site.base + "/1",)], "u string")):
+        got = [sorted(r.target.rpartition("/")[2] for r in crawl.waves(start, config, Condition(), skip, n).collect()) for n in (64, 1, 0)]
+        assert got == [["0", "1", "2"] if skip is None else ["0"]] * 3
+
+
 @pytest.mark.parametrize(("options", "expected"), [
     ({"after": "3024-07-14T00:00:00Z"}, 0),
     ({"before": "1325-07-14T00:00:00Z"}, 0),
