@@ -52,8 +52,8 @@ def candidates(rows: DataFrame, rules: tuple[Rule, ...], scratch: Scratch) -> Da
     terms = [(t, r.kind, i, len(c)) for r in rules for i, c in enumerate(sorted(trigram_query(r.regex) or (), key=sorted)) for t in sorted(c)]
     if not terms:
         return None
-    spark = rows.sparkSession
-    asked = spark.createDataFrame(terms, "t string, kind string, conj int, need int")  # as long as the rules are
+    literal = lambda t: F.struct(F.lit(t[0]).alias("t"), F.lit(t[1]).alias("kind"), F.lit(t[2]).alias("conj"), F.lit(t[3]).alias("need"))
+    asked = rows.sparkSession.range(1).select(F.inline(F.array(*map(literal, terms))))  # as long as the rules are
     index = postings(rows, sorted({t[0] for t in terms}))
     met = index.join(F.broadcast(asked), F.col("trigram") == F.col("t")).groupBy("key", "copy", "kind", "conj", "need").agg(F.count_distinct("trigram").alias("n"))
     return scratch.table(met.where("n = need").groupBy("key", "copy").agg(F.collect_set("kind").alias("kinds")), "candidates")
