@@ -117,8 +117,8 @@ def secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc
 _TEMPLATE = r"""
 WITH t AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
 m AS (__MATCHES__),
-x AS (SELECT r, kind, rank, unnest(range(1, len(w) + 1)) AS i, g, w, p, least FROM m),
-c AS (SELECT r, kind, rank, g[i] AS gap, w[i] AS whole, p[i] AS part, i, least, sum(length(g[i])) OVER (PARTITION BY r, kind ORDER BY i) + coalesce(sum(length(w[i])) OVER (PARTITION BY r, kind ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS s FROM x),
+x AS (SELECT r, kind, rank, least, generate_subscripts(g, 1) AS i, unnest(list_zip(g, w, p)) AS z FROM m),
+c AS (SELECT r, kind, rank, least, z[2] AS whole, z[3] AS part, sum(length(z[1]) + coalesce(length(z[2]), 0)) OVER (PARTITION BY r, kind ORDER BY i) - coalesce(length(z[2]), 0) AS s FROM x),
 f AS (SELECT r, kind, rank, CAST(s AS BIGINT) AS s, CAST(s + length(whole) AS BIGINT) AS e FROM c WHERE length(part) >= least),
 a AS (SELECT r, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
   string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank) FILTER (rank < 3) AS base, string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, rank) AS spans FROM f GROUP BY r)
