@@ -15,15 +15,15 @@ def ordered(members: DataFrame, how: str = "ascending", timestamp: str = "timest
     return members.orderBy(F.desc(timestamp) if how == "descending" else F.asc(timestamp), member)
 
 
-def numbered(members: DataFrame, how: str = "ascending", timestamp: str = "timestamp", member: str = "member_id", name: str = "emit_seq") -> DataFrame:
-    """Adds the place of each member in the order, from 1.
+def sequence(rows: DataFrame, *order: Column | str, name: str) -> DataFrame:
+    """Adds the place of each row in an order, from 1.
 
     One range-partitioned sort; each row's number within its partition comes
     with it, and the counts of the partitions before (one number a partition)
     are added. The sorted rows are checkpointed in between: a second evaluation
     might draw other range bounds.
     """
-    sorted_ = checkpoint(ordered(members, how, timestamp, member).withColumn("__row", F.monotonically_increasing_id()))
+    sorted_ = checkpoint(rows.orderBy(*order).withColumn("__row", F.monotonically_increasing_id()))
     part, row = F.shiftright("__row", 33), F.col("__row").bitwiseAND(F.lit((1 << 33) - 1))
     counts = sorted_.groupBy(part.alias("__part")).agg(F.count("*").alias("__n"))
     before = F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))
@@ -32,6 +32,11 @@ def numbered(members: DataFrame, how: str = "ascending", timestamp: str = "times
     return out.withColumn(name, F.col("__start") + row + 1).drop("__row", "__p", "__part", "__start")
 
 
+def numbered(members: DataFrame, how: str = "ascending", timestamp: str = "timestamp", member: str = "member_id", name: str = "emit_seq") -> DataFrame:
+    """Adds the place of each member in the order of emission, from 1."""
+    return sequence(members, F.desc(timestamp) if how == "descending" else F.asc(timestamp), member, name=name)
+
+
 def distinct_members(members: DataFrame, member: str = "member_id") -> DataFrame:
     """One row a member id, whichever page it was on."""
     return members.dropDuplicates([member])

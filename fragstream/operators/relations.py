@@ -7,11 +7,12 @@ from dataclasses import dataclass
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import partial_dates
 from ..functions import terms as V
+from . import ordering
 from .bounds import Range
 from .conditions import Condition, instant_of
 
@@ -65,9 +66,8 @@ def priority(ranges: DataFrame, path: str, descending: bool = False) -> DataFram
 
 
 def frontier(pages: DataFrame, important: str, value: str, *ties: str, descending: bool = False) -> DataFrame:
-    """Adds ``fetch_seq``: unimportant pages first, then by value. The frontier is a list of pages, not of members."""
-    order = [F.col(important), F.desc(value) if descending else F.asc(value), *ties]
-    return pages.withColumn("fetch_seq", F.row_number().over(Window.orderBy(*order)).cast("bigint"))
+    """Adds ``fetch_seq``: unimportant pages first, then by value."""
+    return ordering.sequence(pages, F.col(important), F.desc(value) if descending else F.asc(value), *ties, name="fetch_seq")
 
 
 # ---- on the driver, for the crawl
