@@ -26,7 +26,7 @@ POWERS = np.array([pow(int(P), i, 2**64) for i in range(LONGEST)], np.uint64)
 def lean(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     """A partition function after which its worker, which Spark keeps, holds no more than it needs.
 
-    Arrays from a megabyte up get pages of their own, which go back to the
+    Arrays from four megabytes up get pages of their own, which go back to the
     system when they are freed; what is left over at the end is given back.
     """
 
@@ -34,7 +34,7 @@ def lean(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
     def wrapped(batches: Iterator) -> Iterator:
         system = ctypes.CDLL(None)
         if hasattr(system, "mallopt"):
-            system.mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD
+            system.mallopt(-3, 1 << 22)  # M_MMAP_THRESHOLD
         yield from run(batches)
         pa.default_memory_pool().release_unused()
         if hasattr(system, "malloc_trim"):
@@ -50,7 +50,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def slices(texts: pa.Array, most: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def slices(texts: pa.Array, most: int = 1 << 17) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, row after, bytes, offsets) of runs of rows with about ``most`` bytes; nulls are empty texts."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()

@@ -162,7 +162,7 @@ class Reader:
         """(texts, langs): the mean label probabilities over all positions that are no white space; zeros if there is none."""
         langs = len(self.net.langs)
         out = np.zeros((len(texts), langs))
-        for a, b, data, off in slices(texts, 1 << 20):
+        for a, b, data, off in slices(texts, 1 << 19):
             start, end, row = pieces(data, off)
             if not len(start):
                 continue

@@ -53,7 +53,7 @@ class Model:
     def scores(self, texts: pa.Array) -> np.ndarray:
         """Probability of class 1 for each whole text; without any feature it is that of the bias."""
         out = np.zeros(len(texts))
-        for a, b, data, off in slices(texts, 1 << 20):
+        for a, b, data, off in slices(texts):
             total, count = np.zeros(b - a), np.zeros(b - a)
             for bucket, row in features(data, off):
                 total += np.bincount(row, self.weight[bucket], b - a)

@@ -80,7 +80,7 @@ class Model:
         """Probability of class 1 for each whole text, by the logarithm of how often its features occur."""
         out = np.full(len(texts), self.bias)
         k = len(self.weight)
-        for a, b, data, off in slices(texts, 1 << 20):
+        for a, b, data, off in slices(texts):
             seen = []
             for bucket, row in features(data, off):
                 slot = self.slot[bucket]
