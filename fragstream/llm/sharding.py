@@ -1,8 +1,10 @@
 """Sharding by size-tiered compaction: arrivals are small immutable shards, similar ones are merged, a manifest names what is current.
 
-No step shuffles a document: arrivals are written as they are partitioned, and a
-merge reads the shards of one group in one task. What a task reads is bounded by
-the target size. Readers see the files of one manifest version, whole.
+No step shuffles a document: arrivals are written as they are partitioned, in
+files well below the target size however large a partition is, and a merge reads
+the shards of one group in one task. A shard that is above the target all the
+same is cut; only a single row can be larger. Readers see the files of one
+manifest version, whole.
 """
 
 from __future__ import annotations
@@ -11,7 +13,7 @@ import math
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,6 +23,8 @@ from .manifest import Manifests
 TARGET_BYTES, FLOOR_BYTES, FAN_IN = 32 << 20, 1 << 18, 4
 #: Groups merged by one Spark job, each in a task of its own.
 GROUPS_A_JOB = 64
+#: From Spark 4.1 on, a union of single partitions is a single partition where this is true.
+UNION = "spark.sql.unionOutputPartitioning"
 #: Manifests of up to so many shards (some 100 bytes each) are broadcast; longer ones are joined as the engine sees fit.
 BROADCAST_SHARDS = 100_000
 
@@ -62,6 +66,23 @@ def plan_merges(shards: list[Shard], target: int = TARGET_BYTES, floor: int = FL
     return [g for g in groups if len(g) > 1]
 
 
+def _file() -> Column:
+    """The path of a row's shard, relative to the store."""
+    return F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+/[^/]+)$", 1)
+
+
+def _row_bytes(schema: T.StructType) -> Column:
+    """About the bytes of a row before compression."""
+
+    def of(f: T.StructField) -> Column:
+        c = F.col(f"`{f.name.replace('`', '``')}`")
+        if isinstance(f.dataType, (T.NumericType, T.BooleanType, T.DatetimeType)):
+            return F.lit(8)
+        return F.coalesce(F.octet_length(c if isinstance(f.dataType, (T.StringType, T.BinaryType)) else c.cast("string")), F.lit(0)) + 4
+
+    return sum((of(f).cast("long") for f in schema), F.lit(0).cast("long"))
+
+
 class ShardStore:
     """A folder of shards under versioned manifests."""
 
@@ -73,10 +94,10 @@ class ShardStore:
         now = self.log.latest()[1] if version is None else self.log.read(version)
         return [Shard(p, n) for p, n in now.get("shards", [])]
 
-    def _written(self, df: DataFrame) -> list[Shard]:
-        """Writes a DataFrame, a file for each of its partitions."""
+    def _written(self, df: DataFrame, rows: int = 0) -> list[Shard]:
+        """Writes a DataFrame, a file for each of its partitions, or for each ``rows`` rows of one."""
         name = f"data-{uuid.uuid4().hex}"
-        df.write.parquet(f"{self.path}/{name}")
+        df.write.option("maxRecordsPerFile", rows).parquet(f"{self.path}/{name}")
         fs, make = file_system(self.spark, self.path)
         found = [(s.getPath().getName(), s.getLen()) for s in fs.listStatus(make(f"{self.path}/{name}"))]
         return [Shard(f"{name}/{f}", n) for f, n in sorted(found) if f.startswith("part-")]
@@ -91,22 +112,55 @@ class ShardStore:
         return version + 1
 
     def append(self, docs: DataFrame) -> int:
-        """Adds arrivals; the version that has them."""
-        return self._commit(self._written(docs), [], docs.schema)
+        """Adds arrivals; the version that has them.
+
+        One more scan of ``docs`` measures the bytes of a mean row, so that files have
+        a ``fan_in``-th of the target before compression.
+        """
+        n, size = docs.agg(F.count("*"), F.sum(_row_bytes(docs.schema))).first()
+        rows = max(1, self.target // self.fan_in * n // max(size, 1)) if n else 0
+        return self._commit(self._written(docs, rows), [], docs.schema)
 
     def compact(self, finish: bool = False) -> int:
-        """Merges until no tier has enough similar shards; the last version."""
-        while groups := plan_merges(self.shards(), self.target, self.floor, self.fan_in, finish):
+        """Cuts shards above the target and merges until no tier has enough similar shards; the last version."""
+        before = math.inf
+        while True:
+            self._cut()
+            shards = self.shards()
+            groups = plan_merges(shards, self.target, self.floor, self.fan_in, finish)
+            if not groups or len(shards) >= before:  # what takes more bytes when merged was cut again
+                return self.log.latest()[0]
+            before = len(shards)
             self._merge(groups[:GROUPS_A_JOB])
-        return self.log.latest()[0]
+
+    def _cut(self) -> None:
+        """Rewrites shards above the target, but for single rows, in files of some three quarters of it."""
+        while large := {s.path: s for s in self.shards() if s.bytes > self.target}:
+            schema = self._schema()
+            read = lambda paths: self.spark.read.schema(schema).parquet(*(f"{self.path}/{p}" for p in paths))
+            classes: dict[int, dict[str, int]] = {}  # of similar rows a file, as one write has one number
+            for path, n in read(large).groupBy(_file()).count().collect():
+                if n > 1:
+                    rows = math.ceil(n / math.ceil(large[path].bytes / (0.75 * self.target)))
+                    classes.setdefault(rows.bit_length(), {})[path] = rows
+            if not classes:
+                return
+            made = [s for c in classes.values() for s in self._written(read(c), min(c.values()))]
+            self._commit(made, [large[p] for c in classes.values() for p in c], schema)
 
     def _merge(self, groups: list[list[Shard]]) -> None:
         schema = self._schema()
         parts = [self.spark.read.schema(schema).parquet(*(f"{self.path}/{s.path}" for s in g)).coalesce(1) for g in groups]
         all_ = parts[0]
         for p in parts[1:]:
-            all_ = all_.union(p)  # a union keeps the partitions: one a group
-        self._commit(self._written(all_), [s for g in groups for s in g], schema)
+            all_ = all_.union(p)
+        conf, was = self.spark.conf, self.spark.conf.get(UNION, "true")
+        conf.set(UNION, "false")  # so that the union keeps the partitions, one a group
+        try:
+            made = self._written(all_)
+        finally:
+            conf.set(UNION, was)
+        self._commit(made, [s for g in groups for s in g], schema)
 
     def _schema(self) -> T.StructType:
         return T.StructType.fromJson(self.log.latest()[1]["schema"])
@@ -141,7 +195,7 @@ class ShardStore:
         if not found:
             return docs.withColumns({"shard": F.lit(0), "shard_bytes": F.lit(0).cast("long")}).limit(0)
         listed = self.spark.createDataFrame([(s.path, i, s.bytes) for i, s in enumerate(found)], "__file string, shard int, shard_bytes long")
-        named = docs.withColumn("__file", F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+/[^/]+)$", 1))
+        named = docs.withColumn("__file", _file())
         return named.join(F.broadcast(listed) if len(found) <= BROADCAST_SHARDS else listed, "__file").drop("__file")
 
 

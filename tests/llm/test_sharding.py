@@ -43,6 +43,49 @@ def test_merges_take_similar_sizes_up_to_the_target():
     assert sharding.tier(0) == sharding.tier(1 << 18) == 0 and sharding.tier((1 << 18) + 1) == 1
 
 
+def hexes(blocks):
+    """Text that Parquet can't make much smaller: 64 bytes a block."""
+    return F.array_join(F.transform(F.sequence(F.lit(1), blocks), lambda k: F.sha2(F.concat_ws("-", "doc_id", k), 256)), "")
+
+
+def test_large_partitions_become_shards_of_the_target_at_most(spark, tmp_path):
+    docs = spark.range(0, 4000, 1, 2).withColumnRenamed("id", "doc_id").withColumn("text", hexes(F.lit(320)))  # 40 MB a partition
+    store = sharding.ShardStore(spark, f"file://{tmp_path}/s")
+    store.append(docs)
+    assert max(s.bytes for s in store.shards()) <= sharding.TARGET_BYTES / 2
+    store = sharding.shard(docs, f"file://{tmp_path}/t")
+    sizes = [s.bytes for s in store.shards()]
+    assert max(sizes) <= sharding.TARGET_BYTES and sum(n > sharding.TARGET_BYTES / 2 for n in sizes) >= len(sizes) - 1
+    assert store.log.latest()[0] > 1  # merged
+    digest = lambda df: df.agg(F.count("*"), F.sum(F.xxhash64("doc_id", "text").cast("decimal(38,0)"))).first()
+    assert digest(store.read()) == digest(docs)
+
+
+def test_each_group_becomes_a_shard_of_its_own(docs, tmp_path):
+    store = sharding.ShardStore(docs.sparkSession, f"file://{tmp_path}/s")
+    for _ in range(4):
+        store.append(docs.limit(3).coalesce(1))
+    old = store.shards()
+    store._merge([old[:2], old[2:]])
+    assert len(store.shards()) == 2 and store.read().count() == 12
+    assert docs.sparkSession.conf.get(sharding.UNION, "true") == "true"
+
+
+def test_uneven_rows_are_cut_to_the_target_but_never_a_row(spark, tmp_path):
+    # the mean row is small: the last rows together, and one alone, are above the target
+    docs = spark.range(0, 3000, 1, 1).withColumnRenamed("id", "doc_id").withColumn("text", hexes(F.when(F.col("doc_id") == 2999, 12000).when(F.col("doc_id") > 2990, 2000).otherwise(1)))
+    target = 1 << 18
+    store = sharding.shard(docs, f"file://{tmp_path}/s", target=target, floor=1 << 12)
+    large = {i for i, s in enumerate(store.shards()) if s.bytes > target}
+    assert [r.doc_id for r in store.numbered().where(F.col("shard").isin(large)).select("doc_id").collect()] == [2999]
+    assert rows(store.read()) == rows(docs)
+    old = sharding.ShardStore(spark, f"file://{tmp_path}/old")  # a store from before, with a shard above its target
+    old.append(docs)
+    old = sharding.ShardStore(spark, f"file://{tmp_path}/old", target=target, floor=1 << 12)
+    old.compact()
+    assert sum(s.bytes > target for s in old.shards()) == 1 and rows(old.read()) == rows(docs)
+
+
 def test_one_of_two_writers_wins(docs, tmp_path):
     a = sharding.ShardStore(docs.sparkSession, f"file://{tmp_path}/s")
     a.append(docs.limit(3))
