@@ -3,9 +3,8 @@
 DataFrame functions only. A window is 13 consecutive words; an item with fewer
 words is one window. One scan hashes every window of every document and joins
 it with the distinct hashes of the benchmark; the few documents that are hit are
-then verified word by word. ``lower`` may stand for A-Z lower-casing in the
-scan, since texts that agree but for A-Z also agree under it, word for word; the
-verification lower-cases A-Z alone.
+then verified word by word. All three lower-case A-Z alone: ``lower`` of a whole text
+and of its words differ, as a capital sigma depends on what is around the word.
 """
 
 from __future__ import annotations
@@ -40,8 +39,7 @@ def windows_of(bench: DataFrame, scratch: Scratch, id_col: str, text_col: str) -
     sized = rows.withColumn("size", F.least(F.size("w"), F.lit(WINDOW)))
     each = sized.select("item", "size", F.explode(F.transform(F.sequence(F.lit(1), F.size("w") - F.col("size") + 1), lambda i: F.slice("w", i, F.col("size")))).alias("g"))
     grams = each.groupBy(F.array_join("g", " ").alias("gram"), "size").agg(F.collect_set("item").alias("items"), F.first("g").alias("g"))
-    # as the scan hashes: lower-cased once more, beyond A-Z
-    scanned = F.transform("g", lambda x: F.xxhash64(F.lower(x)))
+    scanned = F.transform("g", lambda x: F.xxhash64(x))
     return scratch.table(grams.select(F.xxhash64("size", scanned).alias("hash"), "size", "gram", "items"), "windows")
 
 
@@ -54,7 +52,7 @@ def _scan(text: Column, sizes: list[int]) -> Column:
         return F.when(n >= 1, made).otherwise(F.array().cast("array<long>"))
 
     # the one-element array binds the hashed words, so that they are made once a text and not once a window
-    return F.element_at(F.transform(F.array(F.transform(_words(F.lower(text)), lambda x: F.xxhash64(x))), lambda h: F.array(*(of(h, s) for s in sizes))), 1)
+    return F.element_at(F.transform(F.array(F.transform(_words(lower_ascii(text)), lambda x: F.xxhash64(x))), lambda h: F.array(*(of(h, s) for s in sizes))), 1)
 
 
 def contaminated_windows(docs: DataFrame, bench: DataFrame, scratch: Scratch, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:

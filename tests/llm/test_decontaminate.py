@@ -51,6 +51,16 @@ def test_results_equal_brute_force(spark):
     assert any(r.contaminated for r in got) and any(r.n_hit and not r.contaminated for r in got)
 
 
+def test_capital_sigma_beside_separators_equals_brute_force(spark):
+    """Lower-cased by Unicode, the end of a word depends on '.', ':' and apostrophe, which are no part of it."""
+    text = "Α.Σ. ΤΟ ΟΔΟΣ.ΑΒ ΟΔΟΣ'Α ΟΔΟΣ:Α"
+    items = [(1, text), (2, "ΟΔΟΣ"), (3, "ΤΟ ΟΔΟΣ ΑΒ"), (4, "İ ǅ K"), (5, "το οδος")]
+    docs = [(i, t) for i, t in enumerate([text, f"x {text} y", "ΤΟ ΟΔΟΣ.ΑΒ", "ΟΔΟΣ:Α", "ΟΔΟΣ", "οδος", "το οδοσ", "İ'ǅ.K", "i̇ ǆ k"])]
+    got = decontaminate.contamination(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(*x, "") for x in items], ITEMS)).collect()
+    own = sorted((r.doc_id, r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in got)
+    assert own == sorted((d, *brute(t, items)) for d, t in docs) and own[0][2] == own[0][1]
+
+
 def test_documents_and_spans_are_removed(spark):
     docs, items = rows()
     df = spark.createDataFrame([(a, b, "x", 1) for a, b in docs], "doc_id long, text string, key string, copy int")
