@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from fragstream.llm import common, decontaminate, minhash, mixing, quality, sharding
 
-#: Ids of dropped copies up to this many (8 bytes each) are broadcast; more are joined by a shuffle.
+#: Numbers of dropped rows up to this many (8 bytes each) are broadcast; more are joined by a shuffle.
 BROADCAST_IDS = 4_000_000
 
 
@@ -25,11 +25,14 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that with the smallest id, of each group of near-duplicates; rows that share an id are one document."""
-    gone = minhash.near_duplicate_classes(docs).where("not kept and doc_id is not null").select(F.col("doc_id").alias("__gone")).distinct()
-    gone = common.checkpoint(gone)
-    side = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
-    return docs.join(side, docs["doc_id"] == F.col("__gone"), "left_anti")
+    """One row, that with the smallest id, of each group of near-duplicates; a null id comes last, and rows that repeat an id are rows like others."""
+    # rows are named by a number of this stage's own, written once so that it stays
+    rows = common.checkpoint(docs.withColumn("__row", F.monotonically_increasing_id()))
+    found = minhash.near_duplicate_classes(rows, id_col="__row").select("__row", "component_id")
+    ranked = found.join(rows.select("__row", "doc_id"), "__row").withColumn("__rank", F.struct(F.col("doc_id").isNull(), "doc_id", "__row"))
+    first = ranked.groupBy("component_id").agg(F.min("__rank").alias("__rank")).select(F.col("__rank")["__row"].alias("__row"))
+    gone = common.checkpoint(found.select("__row").join(first, "__row", "left_anti"))
+    return rows.join(F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone, "__row", "left_anti").select(*(f"`{c}`" for c in docs.columns))
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

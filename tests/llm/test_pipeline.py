@@ -64,6 +64,19 @@ def test_stages_take_odd_rows(spark, docs):
     assert none.count() == 0
 
 
+def test_rows_with_null_or_repeated_ids_leave_one_row_a_group(spark):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcd")
+    near = lambda t: t + " more"
+    rows = [(None, a), (7, near(a)), (5, a), (None, near(b)), (None, b), (3, c), (3, c), (3, d), (9, near(d)), (None, None), (None, ""), (4, "")]
+    docs = spark.createDataFrame([(i, t, "x") for i, t in rows], "doc_id long, text string, `a.b` string").repartition(3)
+    got = corpus_pipeline.distinct(spark, docs, SF)
+    assert got.columns == docs.columns
+    left = [(r.doc_id, r.text) for r in got.collect()]
+    of_b = [r for r in left if r in ((None, b), (None, near(b)))]
+    assert len(of_b) == 1
+    assert Counter(r for r in left if r not in of_b) == Counter([(5, a), (3, c), (3, d), (None, None), (None, ""), (4, "")])
+
+
 def test_every_operator_is_registered():
     names = list(queries.queries())
     assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 11)]
