@@ -4,12 +4,18 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..shared import checkpoint, delete_path, file_system, shared_dir
 
-__all__ = ["WORD", "Scratch", "checkpoint", "delete_path", "file_system", "held_out", "labelled_sample", "lower_ascii", "n_words", "shared_dir"]
+__all__ = ["TRAIN_BYTES", "WORD", "Scratch", "bounded", "checkpoint", "delete_path", "file_system", "held_out", "labelled_sample", "lower_ascii", "n_words", "row_bytes", "sent", "shared_dir"]
+
+#: A side of a join is broadcast if its rows take so many bytes at most, as ``row_bytes`` counts them.
+BROADCAST_BYTES = 64 << 20
+#: Labelled texts that a model learns from take so many bytes together at most.
+TRAIN_BYTES = 48 << 20
 
 #: A word of the corpus contract: a run of anything but ASCII white space (listed one by one, which Java looks up in a table).
 WORD = r"[^\x20\x09\x0A\x0B\x0C\x0D]+"
@@ -52,8 +58,41 @@ def held_out(doc_id: str, mod: int, rest: int) -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(mod)) == rest, F.lit(True))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, *, mod: int, rest: int, rows: int, seed: int) -> list[tuple[str, int]]:
-    """At most ``rows`` whole labelled texts that are not held out, in a repeatable order.
+def row_bytes(schema: T.StructType) -> Column:
+    """About the bytes of a row before compression; nested values by their JSON or text form."""
+
+    def of(f: T.StructField) -> Column:
+        c = F.col(f"`{f.name.replace('`', '``')}`")
+        if isinstance(f.dataType, (T.NumericType, T.BooleanType, T.DatetimeType)):
+            return F.lit(8)
+        if isinstance(f.dataType, (T.ArrayType, T.StructType, T.MapType)):
+            c = F.to_json(c)
+        return F.coalesce(F.octet_length(c if isinstance(f.dataType, (T.StringType, T.BinaryType)) else c.cast("string")), F.lit(0)) + 4
+
+    return sum((of(f).cast("long") for f in schema), F.lit(0).cast("long"))
+
+
+def sent(side: DataFrame, most: int | None = None) -> DataFrame:
+    """The materialised side of a join, marked for broadcast if its rows take at most ``most`` bytes; else as it is, and the join shuffles."""
+    size = side.agg(F.sum(row_bytes(side.schema) + 16)).first()[0] or 0
+    return F.broadcast(side) if size <= (BROADCAST_BYTES if most is None else most) else side
+
+
+def bounded(drawn: DataFrame, scratch: Scratch, order: tuple[str, ...], most: int = TRAIN_BYTES) -> DataFrame:
+    """The first of a few thousand drawn rows (``text``), in a seeded order, that take ``most`` bytes together; the first always stays.
+
+    ``order`` names columns that tell rows apart. Only they and the sizes are
+    ordered; what is left out is a matter of the sample's documented bound.
+    """
+    drawn = scratch.table(drawn, f"drawn-{uuid.uuid4().hex[:8]}")
+    by = Window.orderBy(*order)
+    sizes = drawn.select(*order, F.octet_length("text").alias("__n"))
+    upto = sizes.withColumns({"__upto": F.sum("__n").over(by.rowsBetween(Window.unboundedPreceding, Window.currentRow)), "__place": F.row_number().over(by)})
+    return drawn.join(F.broadcast(upto.where((F.col("__upto") <= most) | (F.col("__place") == 1)).select(*order)), [*order])
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, *, mod: int, rest: int, rows: int, seed: int, most_bytes: int = TRAIN_BYTES) -> list[tuple[str, int]]:
+    """At most ``rows`` whole labelled texts, of ``most_bytes`` together, that are not held out, in a repeatable order.
 
     The ids are drawn by a seeded hash from the labels alone, so only ids are
     sorted; the texts of the drawn ids are then picked out in one scan. Rows
@@ -62,6 +101,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, *, mod: int
     """
     marked = labels.select(F.col("doc_id").alias("__i"), F.col(target).cast("double").alias("__y")).where("__i is not null and __y is not null").where(~held_out("__i", mod, rest))
     marked = marked.groupBy("__i").agg((F.avg("__y") >= 0.5).cast("int").alias("__y"))
-    drawn = marked.orderBy(F.xxhash64("__i", F.lit(seed)), "__i").limit(rows)
-    found = docs.select(F.col("doc_id").alias("__i"), F.col("text").alias("__t")).where("__t is not null").join(F.broadcast(drawn), "__i")
-    return [(r["__t"], r["__y"]) for r in sorted(found.groupBy("__i").agg(F.min("__t").alias("__t"), F.first("__y").alias("__y")).collect(), key=lambda r: r["__i"])]
+    drawn = marked.withColumn("__h", F.xxhash64("__i", F.lit(seed))).orderBy("__h", "__i").limit(rows)
+    found = docs.select(F.col("doc_id").alias("__i"), "text").where("text is not null").join(F.broadcast(drawn), "__i")
+    with Scratch(docs.sparkSession) as scratch:
+        some = bounded(found.groupBy("__i").agg(F.min("text").alias("text"), F.first("__y").alias("__y"), F.first("__h").alias("__h")), scratch, ("__h", "__i"), most_bytes)
+        return [(r["text"], r["__y"]) for r in sorted(some.collect(), key=lambda r: r["__i"])]

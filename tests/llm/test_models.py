@@ -3,7 +3,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from fragstream.llm import langid, quality, toxicity
+from fragstream.llm import common, langid, quality, toxicity
 
 from .conftest import prose
 
@@ -93,9 +93,38 @@ def test_counterfactual_penalty_frees_neutral_mentions():
 
 def test_swaps_keep_all_else():
     rng = np.random.default_rng(0)
-    assert toxicity.swapped("no such term: menu, blacken", rng) is None
-    got = toxicity.swapped("The Women and a gay man.", rng)
+    assert toxicity.Swaps().twin("no such term: menu, blacken", rng) is None
+    got = toxicity.Swaps().twin("The Women and a gay man.", rng)
     assert got != "The Women and a gay man." and got.startswith("The ") and got.endswith(".")
+    assert toxicity.Swaps([["a", "b"]]).twin("a x a", rng) == "b x b"
+
+
+def test_penalty_acts_on_the_labelled_texts_of_the_query(tables):
+    """The texts hold no listed term: groups are learned, most rows get a twin, and the penalty changes the model."""
+    docs, labels = tables
+    rows = common.labelled_sample(docs, labels, "toxic", mod=5, rest=0, rows=toxicity.TRAIN_ROWS, seed=toxicity.SEED)
+    fair, plain = toxicity.train(rows), toxicity.train(rows, fairness=0.0)
+    assert fair.rows == len(rows) and fair.twins == plain.twins > 0.5 * len(rows)
+    assert (fair.slot == plain.slot).all() and np.abs(fair.weight - plain.weight).max() > 0.01
+    swaps = toxicity.Swaps(toxicity.groups_of(toxicity.tokens_of([t for t, _ in rows]), np.array([y for _, y in rows], float)))
+    rng = np.random.default_rng(3)
+    texts = [t for t, y in rows if not y]
+    twins = [swaps.twin(t, rng) or t for t in texts]
+    logit = lambda m, x: np.log((p := m.scores(pa.array(x)).clip(1e-9, 1 - 1e-9)) / (1 - p))
+    gap = lambda m: np.mean((logit(m, texts) - logit(m, twins)) ** 2)
+    assert gap(fair) < 0.5 * gap(plain)
+
+
+def test_learned_groups_are_common_neutral_words():
+    rng = __import__("random").Random(5)
+    rows = []
+    for i in range(300):
+        w = [x for _ in range(30) for x in ("the", rng.choice(("red", "blue", "green")), rng.choice(("house", "tree")))]
+        rows.append((" ".join(w + ["slur"] * (i % 2) + ["women"] * (i % 3 == 0)), i % 2))
+    found = toxicity.groups_of(toxicity.tokens_of([t for t, _ in rows]), np.array([y for _, y in rows], float))
+    assert set(found[0]) == set(toxicity.IDENTITY[0]) and not any("slur" in row for row in found)
+    learned = [set(row) for row in found[1:]]
+    assert {"red", "blue", "green"} in learned and {"house", "tree"} in learned
 
 
 def test_gradients_are_those_of_the_loss():
