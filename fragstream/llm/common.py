@@ -79,14 +79,14 @@ def sent(side: DataFrame, most: int | None = None) -> DataFrame:
 
 
 def bounded(drawn: DataFrame, scratch: Scratch, order: tuple[str, ...], most: int = TRAIN_BYTES) -> DataFrame:
-    """The first of a few thousand drawn rows (``text``), in a seeded order, that take ``most`` bytes together; the first always stays.
+    """The first of a few thousand drawn rows (``text``), in a seeded order, that take ``most`` bytes together; the first always stays, and texts of over an eighth of it come last.
 
     ``order`` names columns that tell rows apart. Only they and the sizes are
     ordered; what is left out is a matter of the sample's documented bound.
     """
     drawn = scratch.table(drawn, f"drawn-{uuid.uuid4().hex[:8]}")
-    by = Window.orderBy(*order)
-    sizes = drawn.select(*order, F.octet_length("text").alias("__n"))
+    by = Window.orderBy("__large", *order)
+    sizes = drawn.select(*order, F.octet_length("text").alias("__n")).withColumn("__large", F.col("__n") > most // 8)
     upto = sizes.withColumns({"__upto": F.sum("__n").over(by.rowsBetween(Window.unboundedPreceding, Window.currentRow)), "__place": F.row_number().over(by)})
     return drawn.join(F.broadcast(upto.where((F.col("__upto") <= most) | (F.col("__place") == 1)).select(*order)), [*order])
 
