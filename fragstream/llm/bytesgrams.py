@@ -107,22 +107,6 @@ def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mix(np.add.reduceat(value, first) + size.astype(np.uint64) * P)
 
 
-def ngrams(data: np.ndarray, off: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """(hash, position) of each run of n bytes inside one row."""
-    m = len(data) - n + 1
-    if m <= 0:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    h = TABLE[data[:m]].copy()
-    for j in range(1, n):
-        h += TABLE[data[j : j + m]] * POWERS[j]
-    ok = np.ones(m, bool)
-    for j in range(1, n):  # a run may not hold the first byte of a later row
-        cut = off[1:-1] - j
-        ok[cut[(cut >= 0) & (cut < m)]] = False
-    at = np.flatnonzero(ok)
-    return mix(h[at] + POWERS[n]), at
-
-
 def prefixes(data: np.ndarray, start: np.ndarray, end: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """(hash, word) of the first n bytes of each word that is longer."""
     at = np.flatnonzero(end - start > n)

@@ -1,4 +1,4 @@
-"""Quality classifier: averaged embeddings of hashed words and character n-grams, softmax output, numpy SGD."""
+"""Quality classifier: averaged embeddings of hashed words, word pairs, shapes of word runs and character n-grams, softmax output, numpy SGD."""
 
 from __future__ import annotations
 
@@ -12,35 +12,70 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..shipping import ship
-from .bytesgrams import SPACE, lean, ngrams, slices, word_hashes, words
+from .bytesgrams import POWERS, SPACE, P, lean, mix, slices, word_hashes, words
 from .common import held_out, labelled_sample
 
 #: Labelled rows to learn from at most; each is a whole text.
 TRAIN_ROWS = 2000
-BITS, GRAMS, DIM = 17, (2, 3, 4), 10
-#: How many features a repeated word counts as, beside the n-grams of its bytes.
-REPEATED = 8
+BITS, GRAMS, SHAPES, DIM = 17, (2, 3, 4), (2, 3, 4), 10
 EPOCHS, RATE, SEED = 6, 0.4, 4
+#: What stands for a word's ends among code points, none of which is that large.
+MARK = 0x110000
 HELD_OUT = (5, 0)
 KEEP = 0.3
 
 
 def features(data: np.ndarray, off: np.ndarray, bits: int = BITS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(bucket, row) of every word, of every word that repeats the one before, and of every n-gram of bytes.
+    """(bucket, row) of every word, every pair of neighbouring words, the shape of every run of n words, and every run of n characters (code points) of a word between marks of its ends.
 
-    White space counts as a byte, so n-grams see word ends. The bigrams of a
-    word with itself share one bucket, whatever the word.
+    The shape of a run tells which of its words are the same, whatever they are.
     """
     shift = np.uint64(64 - bits)
     start, end, row = words(data, off, ~SPACE[data])
     h = word_hashes(data, start, end)
     yield (h >> shift).astype(np.int64), row
-    again = row[1:][(h[1:] == h[:-1]) & (row[1:] == row[:-1])]
-    yield np.zeros(len(again) * REPEATED, np.int64), np.repeat(again, REPEATED)
-    rows = np.repeat(np.arange(len(off) - 1), np.diff(off))
+    pair = row[1:] == row[:-1]
+    yield (mix(h[:-1][pair] * P + h[1:][pair]) >> shift).astype(np.int64), row[1:][pair]
+    for n in SHAPES:
+        m = max(0, len(h) - n + 1)
+        at = np.flatnonzero(row[n - 1 :] == row[:m]) if m else np.zeros(0, np.int64)
+        shape = np.full(len(at), n, np.uint64)
+        for i in range(n):
+            for j in range(i + 1, n):
+                shape = shape * np.uint64(2) + (h[at + i] == h[at + j])
+        yield (mix(shape * P) >> shift).astype(np.int64), row[at]
+    marked, rows = characters(data, off)
+    value = mix(marked.astype(np.uint64) * P)
+    gap = marked == MARK
     for n in GRAMS:
-        h, at = ngrams(data, off, n)
-        yield (h >> shift).astype(np.int64), rows[at]
+        m = len(marked) - n + 1
+        if m <= 0:
+            continue
+        ok = ~gap[1:m + 1] if n > 2 else np.ones(m, bool)  # a mark only at either end
+        for j in range(2, n - 1):
+            ok &= ~gap[j : j + m]
+        if n == 2:
+            ok = ~(gap[:m] & gap[1:])
+        at = np.flatnonzero(ok)
+        h = np.full(len(at), POWERS[n])
+        for j in range(n):
+            h += value[at + j] * POWERS[j]
+        yield (mix(h) >> shift).astype(np.int64), rows[at + (marked[at] == MARK)]
+
+
+def characters(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(code points, row) of all texts one after the other, with one MARK before, between and after words in place of white space."""
+    points = np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
+    first = (data & 0xC0) != 0x80
+    rows = np.repeat(np.arange(len(off) - 1), np.diff(off))[first]
+    points = np.where((points < 128) & SPACE[np.minimum(points, 255)], MARK, points)
+    # a mark where a row begins, then no two marks in a row
+    begins = np.flatnonzero(np.diff(rows, prepend=-1))
+    points, rows = np.insert(points, begins, MARK), np.insert(rows, begins, rows[begins] if len(begins) else [])
+    points, rows = np.append(points, np.uint32(MARK)), np.append(rows, rows[-1:] if len(rows) else [0])
+    keep = np.ones(len(points), bool)
+    keep[1:] = (points[1:] != MARK) | (points[:-1] != MARK)
+    return points[keep], rows[keep]
 
 
 @dataclass(frozen=True)
@@ -111,21 +146,25 @@ def fit(docs: DataFrame, labels: DataFrame, target: str = "quality", rows: int =
 
 
 def scored(docs: DataFrame, model, text_col: str = "text", score_col: str = "score") -> DataFrame:
-    """All rows and columns with a score in 0 to 1 by the whole text; a null text scores as an empty one."""
+    """All rows and columns with a score in 0 to 1 by the whole text; a null text scores as an empty one.
+
+    The score comes last; a column that already has its name is replaced.
+    """
     spark = docs.sparkSession
     ship(spark)
     held = spark.sparkContext.broadcast(model)  # about a megabyte, whatever the corpus
-    at, names = docs.columns.index(text_col), docs.columns
-    plain = docs.toDF(*(f"c{i}" for i in range(len(names))))  # names may hold dots
-    out = [*plain.columns, "score"]
+    at = docs.columns.index(text_col)
+    plain = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))  # names may hold dots, or be the same
+    stay = [i for i, c in enumerate(docs.columns) if c != score_col]
+    out = [*(f"c{i}" for i in stay), "score"]
 
     @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(held.value.scores(batch.column(at)), pa.float64())], out)
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in stay), pa.array(held.value.scores(batch.column(at)), pa.float64())], out)
 
-    schema = T.StructType([*plain.schema.fields, T.StructField("score", T.DoubleType())])
-    return plain.mapInArrow(run, schema).toDF(*names, score_col)
+    schema = T.StructType([*(plain.schema.fields[i] for i in stay), T.StructField("score", T.DoubleType())])
+    return plain.mapInArrow(run, schema).toDF(*(docs.columns[i] for i in stay), score_col)
 
 
 def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fragstream.llm import common, langid, quality, toxicity
+from fragstream.llm.bytesgrams import POWERS, P, mix, word_hashes
 
 from .conftest import prose
 
@@ -54,6 +55,52 @@ def test_odd_rows_are_scored(docs, corpus, none, spark, operator):
     assert len({r.score for r in operator(docs, labels.where(F.lit(False))).collect()}) == 1
 
 
+def by_hand_features(text):
+    """Counts of a text's quality features, one word and one character at a time."""
+    low = [x.encode() for x in __import__("re").findall(r"[^\x20\x09-\x0D]+", text or "")]
+    one = lambda b: word_hashes(np.frombuffer(b, np.uint8), np.array([0]), np.array([len(b)]))[0]
+    out, h = [], [one(b) for b in low]
+    with np.errstate(over="ignore"):
+        out += h + [mix(np.array([a * P + b]))[0] for a, b in zip(h, h[1:], strict=False)]
+        for n in quality.SHAPES:
+            for i in range(len(h) - n + 1):
+                code = n
+                for j in range(n):
+                    for k in range(j + 1, n):
+                        code = code * 2 + (h[i + j] == h[i + k])
+                out.append(mix(np.array([np.uint64(code) * P]))[0])
+        for w in low:
+            marked = [quality.MARK, *map(ord, w.decode()), quality.MARK]
+            for n in quality.GRAMS:
+                for i in range(len(marked) - n + 1):
+                    value = POWERS[n]
+                    for j in range(n):
+                        value = value + mix(np.array([np.uint64(marked[i + j]) * P]))[0] * POWERS[j]
+                    out.append(mix(np.array([value]))[0])
+    return np.array(out, np.uint64) >> np.uint64(64 - quality.BITS)
+
+
+def test_quality_scores_equal_a_brute_force_version(spark, docs, corpus):
+    """The model of the query, applied by hand: the mean over all features of what each adds."""
+    rng = __import__("random").Random(8)
+    model = quality.train([(prose(rng, 30) + ("!" * (i % 2)), i % 2) for i in range(60)])
+    got = {(r.doc_id, r.text): r.score for r in quality.scored(docs, model).select("doc_id", "text", "score").collect()}
+    for i, text, *_ in corpus:
+        if text and len(text) > 3000:
+            continue
+        found = by_hand_features(text)
+        logit = (model.weight[found].astype(float).sum() / max(1, len(found))) + model.bias
+        assert got[i, text] == pytest.approx(1 / (1 + np.exp(-logit)), rel=1e-6), text
+
+
+def test_a_score_column_is_replaced(docs, none):
+    model = quality.train([("a b", 1), ("c d", 0)])
+    for df in (docs, none):
+        got = quality.scored(df, model)
+        assert got.columns == [*(c for c in docs.columns if c != "score"), "score"] and got.count() == df.count()
+        assert quality.scored(df, model, score_col="q").columns == [*docs.columns, "q"]
+
+
 def test_repeated_words_and_symbols_are_junk():
     rng = __import__("random").Random(1)
     rows = []
