@@ -5,12 +5,15 @@ gathers the heads of the local lists and takes, for each query, the k-th best of
 their full scores: a cutoff that the true k-th best can't be below. Phase 2
 broadcasts it; an entry can only reach it if one of its local scores reaches the
 cutoff divided by the number of slices (uniform threshold), and only such
-entries are collected. Phase 3 resolves their remaining scores exactly.
+entries are collected. Phase 3 resolves their remaining scores exactly. While the
+slices of a row are added up, what is left of it is bounded by the lengths of the
+remaining parts; pairs that can't reach the cutoff any more are not read further.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -22,18 +25,30 @@ from .bytesgrams import lean
 from .common import Scratch, checkpoint
 
 SLICES = 4
-#: Queries of one pass over all rows; their vectors and cutoffs are broadcast (some hundred bytes to some KB each).
-QUERY_BLOCK = 4096
+#: The vectors of the queries of one pass over all rows, which are collected and broadcast, take so many bytes at most.
+QUERY_BYTES = 8 << 20
 #: Scores held at a time in a task: rows are taken in runs of so many divided by the queries.
 SCORES = 1 << 21
+#: If fewer pairs than this share can still reach the cutoff, the next slice is read for them alone, so many components at a time.
+SPARSE, GATHERED = 0.05, 1 << 21
+LONG = 2**63 - 1
 
 
-def quantised(vectors: DataFrame, id_col: str, vector_col: str, scale: int = 256) -> DataFrame:
-    """(id, vec): components floor(scale * x) as longs, of finite vectors; rows of one id count once, with the smallest vector."""
+def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
+    """(row, id, vec): a number of its own, the id and the components as doubles of each row whose vector is finite."""
     v = F.transform(F.col(vector_col), lambda x: x.cast("double"))
     fine = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
-    good = vectors.select(F.col(id_col).cast("long").alias("id"), v.alias("v")).where(F.col("id").isNotNull() & F.col("v").isNotNull()).where(F.coalesce(fine, F.lit(False)))
-    return good.groupBy("id").agg(F.min(F.transform("v", lambda x: F.floor(x * scale).cast("long"))).alias("vec"))
+    good = vectors.select(F.col(id_col).cast("long").alias("id"), v.alias("vec")).where(F.col("id").isNotNull() & F.col("vec").isNotNull()).where(F.coalesce(fine, F.lit(False)))
+    return good.select(F.monotonically_increasing_id().alias("row"), "id", "vec")
+
+
+def quantised(x: np.ndarray, scale: int = 256) -> np.ndarray:
+    """floor(scale * x): floats that hold integers, or, where a product would be beyond floats, integers without a bound."""
+    with np.errstate(over="ignore"):
+        out = np.floor(x * scale)
+    if np.isfinite(out).all():
+        return out
+    return np.array([[int(np.floor(a * scale)) if abs(a) < 2.0**60 else int(a) * scale for a in row] for row in x.tolist()], object).reshape(x.shape)
 
 
 def matrix(vecs: pa.Array, dims: int) -> np.ndarray:
@@ -44,106 +59,196 @@ def matrix(vecs: pa.Array, dims: int) -> np.ndarray:
     size = np.diff(offs)
     if len(size) and (size == dims).all():
         return flat[offs[0] : offs[-1]].reshape(-1, dims)
-    out = np.zeros((len(size), dims), np.int64)
+    out = np.zeros((len(size), dims), flat.dtype)
     for i, n in enumerate(size):
         out[i, : min(n, dims)] = flat[offs[i] : offs[i] + min(n, dims)]
     return out
 
 
-def local_scores(rows: np.ndarray, queries: np.ndarray, slices: int) -> list[np.ndarray]:
-    """Per slice the (rows, queries) inner products: exact, by floating point where every sum fits 53 bits, else by integers without a bound."""
-    dims = rows.shape[1]
-    cuts = [dims * i // slices for i in range(slices + 1)]
-    top = lambda x: int(np.abs(x).max()) if x.size else 0
-    if max(1, top(rows)) * max(1, top(queries)) * max(1, dims) < 2**53:
-        a, b = rows.astype(np.float64), queries.astype(np.float64)
-    else:
-        a, b = rows.astype(object), queries.astype(object)
-    return [a[:, i:j] @ b[:, i:j].T if j > i else np.zeros((len(a), len(b)), a.dtype) for i, j in zip(cuts, cuts[1:], strict=False)]
-
-
-def _runs(batches: Iterator[pa.RecordBatch], ids: np.ndarray, queries: np.ndarray) -> Iterator[tuple[np.ndarray, list[np.ndarray], np.ndarray]]:
-    """(row ids, local scores, mask of a query's own row) of runs of rows."""
-    step = max(1, SCORES // max(1, len(ids)))
-    for batch in batches:
-        own, vecs = batch.column(0).to_numpy(), matrix(batch.column(1), queries.shape[1])
-        for a in range(0, len(own), step):
-            yield own[a : a + step], local_scores(vecs[a : a + step], queries, SLICES), own[a : a + step][:, None] == ids[None, :]
-
-
-def top_k(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = 256, block: int = QUERY_BLOCK) -> DataFrame:
+def _largest(x: np.ndarray) -> int:
+    return max(1, int(np.abs(x).max())) if x.size else 1
+
+
+@dataclass(frozen=True)
+class Queries:
+    """Queries of one block: the number of each one's row, its id and its quantised vector."""
+
+    row: np.ndarray
+    id: np.ndarray
+    vec: np.ndarray
+
+    @property
+    def cuts(self) -> list[tuple[int, int]]:
+        dims = self.vec.shape[1]
+        at = [dims * i // SLICES for i in range(SLICES + 1)]
+        return list(zip(at, at[1:], strict=False))
+
+    def exact(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(rows, queries) in a type in which every inner product is exact: floats where all sums fit 53 bits, else integers without a bound."""
+        if _largest(rows) * _largest(self.vec) * max(1, self.vec.shape[1]) < 2**53:
+            return rows.astype(np.float64), self.vec.astype(np.float64)
+        whole = lambda x: np.array([[int(a) for a in r] for r in x.tolist()], object).reshape(x.shape)
+        return whole(rows), whole(self.vec)
+
+    def runs(self, batches: Iterator[pa.RecordBatch], scale: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(row numbers, ids, vectors) of runs of rows."""
+        step = max(1, SCORES // max(1, len(self.row)))
+        for batch in batches:
+            own, ids, vecs = batch.column(0).to_numpy(), batch.column(1).to_numpy(), matrix(batch.column(2), self.vec.shape[1])
+            for a in range(0, len(own), step):
+                yield own[a : a + step], ids[a : a + step], quantised(vecs[a : a + step], scale)
+
+
+def best(query: np.ndarray, score: np.ndarray, k: int) -> np.ndarray:
+    """Places of the k highest scores of each query."""
+    order = np.lexsort((-score.astype(np.float64), query))
+    q = query[order]
+    first = np.searchsorted(q, q)
+    return order[np.arange(len(q)) - first < k]
+
+
+def heads(runs: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], queries: Queries, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(query, full score) of the k best among the rows that head some local list: phase 1 over the rows of one task."""
+    n = len(queries.row)
+    held = [(np.zeros(0, np.int64), np.zeros(0)) for _ in queries.cuts]
+    level = np.full((SLICES, n), -np.inf)  # the k-th best local score so far
+    found_q, found_s = np.zeros(0, np.int64), np.zeros(0)
+    for own, _, vecs in runs:
+        a, b = queries.exact(vecs)
+        head = np.zeros((len(own), n), bool)
+        mine = own[:, None] == queries.row[None, :]
+        for i, (x, y) in enumerate(queries.cuts):
+            s = (a[:, x:y] @ b[:, x:y].T).astype(np.float64) if y > x else np.zeros((len(a), n))
+            s[mine] = -np.inf
+            r, q = np.nonzero(s > level[i])
+            head[r, q] = True
+            hq, hs = np.concatenate([held[i][0], q]), np.concatenate([held[i][1], s[r, q]])
+            top = best(hq, hs, k)
+            held[i] = hq[top], hs[top]
+            full = np.bincount(hq[top], minlength=n) >= k
+            low = np.full(n, np.inf)
+            np.minimum.at(low, hq[top], hs[top])
+            level[i] = np.where(full, low, -np.inf)
+        r, q = np.nonzero(head)  # a row that heads several lists counts once
+        found_q, found_s = np.concatenate([found_q, q]), np.concatenate([found_s, _pairs(a, b, r, q).astype(np.float64)])
+        top = best(found_q, found_s, k)
+        found_q, found_s = found_q[top], found_s[top]
+    return found_q, found_s
+
+
+def _pairs(a: np.ndarray, b: np.ndarray, r: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Inner products of the given pairs of rows and queries, some at a time."""
+    step = max(1, GATHERED // max(1, a.shape[1]))
+    parts = [(a[r[i : i + step]] * b[q[i : i + step]]).sum(1) for i in range(0, len(r), step)]
+    return np.concatenate(parts) if parts else np.zeros(0, a.dtype)
+
+
+def reaching(vecs: np.ndarray, own: np.ndarray, queries: Queries, cut: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
+    """(row, query, score) of all pairs whose score reaches the query's cutoff, and how many (pair, slice) scores were made: phases 2 and 3."""
+    a, b = queries.exact(vecs)
+    mine = own[:, None] == queries.row[None, :]
+    if a.dtype == object:  # beyond 53 bits nothing is left out early
+        total = a @ b.T
+        r, q = np.nonzero((total.astype(np.float64) >= cut) & ~mine)
+        return r, q, total[r, q], total.size * SLICES
+    # the length of what is left of each vector after each slice
+    rest = lambda x: [np.sqrt((x[:, y:] ** 2).sum(1)) * (1 + 1e-9) for _, y in queries.cuts]
+    rest_a, rest_b = rest(a), rest(b)
+    total, enough, made = np.zeros((len(a), len(b))), np.zeros((len(a), len(b)), bool), 0
+    for i, (x, y) in enumerate(queries.cuts):
+        s = a[:, x:y] @ b[:, x:y].T
+        made += s.size
+        total += s
+        enough |= s >= cut / SLICES
+        alive = (total + rest_a[i][:, None] * rest_b[i][None, :] + 1 >= cut) & ~mine
+        if i + 1 < SLICES and alive.mean() < SPARSE:
+            r, q = np.nonzero(alive)
+            score, passed = total[r, q], enough[r, q]
+            for u, v in queries.cuts[i + 1 :]:
+                s = _pairs(a[:, u:v], b[:, u:v], r, q)
+                made += len(s)
+                score, passed = score + s, passed | (s >= cut[q] / SLICES)
+            ok = passed & (score >= cut[q])
+            return r[ok], q[ok], score[ok], made
+    r, q = np.nonzero(alive & enough & (total >= cut))
+    return r, q, total[r, q], made
+
+
+def order_key(score: int) -> str:
+    """A text that sorts as the score does, however large it is."""
+    if score >= 0:
+        digits = str(score)
+        return f"1{len(digits):04}{digits}"
+    digits = str(-score)
+    return f"0{9999 - len(digits):04}" + "".join(str(9 - int(c)) for c in digits) + "a"
+
+
+def top_k(vectors: DataFrame, is_query, k: int = 5, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = 256, query_bytes: int = QUERY_BYTES) -> DataFrame:
     """(query_id, rank, id, score): the k best rows for each query, as op10's contract says.
 
     ``is_query`` is a condition on the column ``id``. Equal scores rank by the
     smaller id; a query with fewer other rows gets all of them. Null vectors and
-    those with null or non-finite components take no part, nor do null ids;
-    rows that share an id are one row. Missing components count as 0. Extra
-    columns are not read. No rows, or no queries, give an empty result.
+    those with null or non-finite components take no part, nor do null ids. Rows
+    that share an id are rows of their own: each is a candidate for all other
+    rows, and each that is a query has ranks of its own. Missing components count
+    as 0. Scores rank by their exact value; one beyond a long is given as the
+    nearest long. Extra columns are not read. No rows, or no queries, give an
+    empty result.
     """
     spark = vectors.sparkSession
     ship(spark)
     with Scratch(spark) as scratch:
-        rows = scratch.table(quantised(vectors, id_col, vector_col, scale), "rows")
+        rows = scratch.table(usable(vectors, id_col, vector_col), "rows")
         asked = scratch.table(rows.where(is_query), "queries")
-        blocks = -(-asked.count() // block)
-        found = [_one_block(rows, asked.where(F.pmod(F.xxhash64("id"), F.lit(blocks)) == b), k, scratch, b) for b in range(blocks)]
-        out = spark.createDataFrame([], "query_id long, vec_id long, score long") if not found else found[0]
+        n, width = asked.agg(F.count("*"), F.max(F.size("vec"))).first()
+        blocks = -(-n * 8 * max(1, width or 1) // query_bytes)
+        found = [_one_block(rows, asked.where(F.pmod(F.xxhash64("row"), F.lit(blocks)) == b), k, scratch, b, scale) for b in range(blocks)]
+        if not found:
+            return checkpoint(spark.createDataFrame([], f"query_id long, rank int, `{id_col}` long, score long"))
+        out = found[0]
         for f in found[1:]:
             out = out.unionByName(f)
-        rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-        best = out.withColumn("rank", rank).where(F.col("rank") <= k)
-        return checkpoint(best.select("query_id", "rank", F.col("vec_id").alias(id_col), "score"))
+        rank = F.row_number().over(Window.partitionBy("row").orderBy(F.desc("key"), "vec_id"))
+        top = out.withColumn("rank", rank).where(F.col("rank") <= k)
+        return checkpoint(top.select("query_id", "rank", F.col("vec_id").alias(id_col), "score"))
 
 
-def _one_block(rows: DataFrame, asked: DataFrame, k: int, scratch: Scratch, number: int) -> DataFrame:
-    """Candidates (query_id, vec_id, score) of one block of queries: all that reach the cutoff, so at least the k best."""
+def _one_block(rows: DataFrame, asked: DataFrame, k: int, scratch: Scratch, number: int, scale: int) -> DataFrame:
+    """Candidates (row, query_id, vec_id, score, key) of one block of queries: all that reach the cutoff, so at least the k best."""
     spark = rows.sparkSession
-    got = sorted((r["id"], r["vec"]) for r in asked.collect())  # about QUERY_BLOCK rows
-    ids, dims = np.array([i for i, _ in got], np.int64), max((len(v) for _, v in got), default=0)
-    queries = matrix(pa.array([v for _, v in got], pa.list_(pa.int64())), max(1, dims))
-    shared = spark.sparkContext.broadcast((ids, queries))
+    got = sorted((r["row"], r["id"], r["vec"]) for r in asked.collect())  # about QUERY_BYTES
+    dims = max(1, max((len(v) for _, _, v in got), default=0))
+    vec = quantised(matrix(pa.array([v for _, _, v in got], pa.list_(pa.float64())), dims), scale)
+    shared = spark.sparkContext.broadcast(Queries(np.array([r for r, _, _ in got], np.int64), np.array([i for _, i, _ in got], np.int64), vec))
 
     @lean
-    def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, queries = shared.value
-        best = np.full((k, len(ids)), -np.inf)
-        for _, local, own in _runs(batches, ids, queries):
-            total = np.where(own, -np.inf, sum(local).astype(np.float64))
-            n = min(k + 1, len(total))
-            head = np.zeros(own.shape, bool)  # a row that heads several lists counts once
-            for s in local:
-                np.put_along_axis(head, np.argpartition(-s.astype(np.float64), n - 1, axis=0)[:n], True, 0)
-            full = np.where(head, total, -np.inf)
-            best = np.sort(np.concatenate([best, -np.partition(-full, min(k, len(full)) - 1, axis=0)[:k]]), axis=0)[::-1][:k]
-        at, q = np.nonzero(np.isfinite(best))
-        yield pa.RecordBatch.from_arrays([pa.array(ids[q]), pa.array(best[at, q])], ["query_id", "score"])
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        queries = shared.value
+        q, s = heads(queries.runs(batches, scale), queries, k)
+        yield pa.RecordBatch.from_arrays([pa.array(q), pa.array(s)], ["query", "score"])
 
     @lean
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, queries = shared.value
-        cut = cutoffs.value
-        for own_ids, local, own in _runs(batches, ids, queries):
-            enough = np.zeros(own.shape, bool)
-            for s in local:
-                enough |= s.astype(np.float64) >= cut / SLICES
-            r, q = np.nonzero(enough & ~own)
-            score = np.zeros(len(r), local[0].dtype)
-            for s in local:
-                score = score + s[r, q]
-            ok = score.astype(np.float64) >= cut[q]
-            yield pa.RecordBatch.from_arrays([pa.array(ids[q[ok]]), pa.array(own_ids[r[ok]]), pa.array([int(x) for x in score[ok]], pa.int64())], ["query_id", "vec_id", "score"])
-
-    lists = rows.mapInArrow(heads, "query_id long, score double")
-    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score")))
-    kth = lists.withColumn("place", place).where(F.col("place") == k).select("query_id", "score")
+        queries, cut = shared.value, cutoffs.value
+        for own, ids, vecs in queries.runs(batches, scale):
+            r, q, score, _ = reaching(vecs, own, queries, cut)
+            whole = [int(x) for x in score]
+            near = [max(-LONG - 1, min(LONG, x)) for x in whole]
+            yield pa.RecordBatch.from_arrays([pa.array(queries.row[q]), pa.array(queries.id[q]), pa.array(ids[r]), pa.array(near, pa.int64()), pa.array([order_key(x) for x in whole], pa.string())], ["row", "query_id", "vec_id", "score", "key"])
+
+    lists = rows.mapInArrow(first, "query long, score double")
+    place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score")))
+    kth = lists.withColumn("place", place).where(F.col("place") == k).select("query", "score")
     level = dict((r[0], r[1]) for r in kth.collect())  # a number a query of the block
-    cutoffs = spark.sparkContext.broadcast(np.array([level.get(int(i), -np.inf) for i in ids]))
-    return scratch.table(rows.mapInArrow(entries, "query_id long, vec_id long, score long"), f"found{number}")
+    # a little lower where floats round
+    cut = np.array([level.get(i, -np.inf) for i in range(len(got))])
+    cutoffs = spark.sparkContext.broadcast(np.where(np.abs(cut) < 2.0**53, cut, cut - np.abs(cut) * 1e-9))
+    return scratch.table(rows.mapInArrow(entries, "row long, query_id long, vec_id long, score long, key string"), f"found{number}")
 
 
 ORACLE_SQL = """
-WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score FROM v q, v c WHERE q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id),
-r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
-SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+WITH v AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.r, q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score FROM v q, v c WHERE q.vec_id % 50 = 0 AND c.r <> q.r),
+k AS (SELECT *, CAST(row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM k WHERE rank <= 5
 """
