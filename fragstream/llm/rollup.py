@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -10,8 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..shipping import ship
-from .common import Scratch, checkpoint, n_words, shared_dir
-from .manifest import Conflict, Manifests
+from .common import Scratch, checkpoint, delete_path, n_words
+from .manifest import Manifests
 
 KEYS = ("source", "lang", "tokenizer")
 #: Tokenizer versions that SQL functions can count: words between ASCII white space, and UTF-8 bytes.
@@ -54,14 +55,13 @@ class TokenRollup:
     "revise"), the keys, ``tokens`` and, for a revision, ``old_tokens``. Its sums
     are written as one delta and become part of the totals with the manifest
     version that lists the batch; a batch that is listed is never added again,
-    and what a failed commit has written is listed nowhere and overwritten by the
-    next attempt. Null keys are keys of their own; null counts are 0; other
+    and what a failed commit has written is listed nowhere. Null keys are keys of their own; null counts are 0; other
     changes are an error; groups without documents and tokens disappear.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, private: bool = False):
         self.spark, self.path = spark, path.rstrip("/")
-        self.log = Manifests(spark, f"{self.path}/manifests")
+        self.log = Manifests(spark, f"{self.path}/manifests", private)
 
     def _sums(self, changes: DataFrame) -> DataFrame:
         old = F.coalesce("old_tokens", F.lit(0)) if "old_tokens" in changes.columns else F.lit(0)
@@ -72,30 +72,37 @@ class TokenRollup:
         return changes.groupBy(*KEYS).agg(F.sum(docs).cast("long").alias("n_docs"), F.sum(tokens).cast("long").alias("n_tokens"))
 
     def commit(self, batch_id: str, changes: DataFrame) -> bool:
-        """Adds a batch; False if it was there already."""
+        """Adds a batch; False if it was there already.
+
+        Each attempt writes a folder of its own before it claims a version, so
+        that a late attempt changes nothing that counts.
+        """
         if not re.fullmatch(r"[\w.-]+", batch_id):
             raise ValueError(f"a batch id is made of letters, digits, dots and dashes: {batch_id!r}")
-        while True:
-            version, now = self.log.latest()
-            if batch_id in now.get("batches", ()):
-                return False
-            delta = f"delta-{batch_id}"
-            self._sums(changes).write.mode("overwrite").parquet(f"{self.path}/{delta}")
-            tables = [*now.get("tables", []), delta]
-            try:
-                self.log.commit(version + 1, {"batches": [*now.get("batches", []), batch_id], "tables": tables})
-            except Conflict:
-                continue
-            if len(tables) > FOLD_AFTER:
-                self.fold()
-            return True
+        if batch_id in self.log.latest()[1].get("batches", ()):
+            return False
+        delta = f"delta-{batch_id}-{uuid.uuid4().hex}"
+        self._sums(changes).write.parquet(f"{self.path}/{delta}")
+        won = lambda now: delta in now.get("tables", ())
+        _, now = self.log.update(lambda _, now: None if batch_id in now.get("batches", ()) else now | {"batches": [*now.get("batches", []), batch_id], "tables": [*now.get("tables", []), delta]})
+        if not won(now):
+            delete_path(self.spark, f"{self.path}/{delta}")
+            return False
+        if len(now["tables"]) > FOLD_AFTER:
+            self.fold()
+        return True
 
     def fold(self) -> None:
-        """Replaces all deltas by one table; the totals stay as they are."""
+        """Replaces the deltas there are by one table; the totals stay as they are, and batches committed meanwhile stay beside it."""
         version, now = self.log.latest()
-        base = f"base-{version + 1:08}"
-        self.totals().write.mode("overwrite").parquet(f"{self.path}/{base}")
-        self.log.commit(version + 1, now | {"tables": [base]})
+        old = set(now.get("tables", ()))
+        if len(old) < 2:
+            return
+        base = f"base-{uuid.uuid4().hex}"
+        self.totals(version).write.parquet(f"{self.path}/{base}")
+        _, then = self.log.update(lambda _, now: now | {"tables": [base, *(t for t in now["tables"] if t not in old)]} if old <= set(now["tables"]) else None)
+        if base not in then["tables"]:  # another fold was faster
+            delete_path(self.spark, f"{self.path}/{base}")
 
     def totals(self, version: int | None = None) -> DataFrame:
         """(source, lang, tokenizer, n_docs, n_tokens) as of a version, by default the newest."""
@@ -107,25 +114,40 @@ class TokenRollup:
         return sums.where("n_docs <> 0 or n_tokens <> 0")
 
 
+def history(rows: DataFrame, batches: int) -> dict[str, DataFrame]:
+    """Batches of changes that end at the counts of ``rows``, by way of wrong ones.
+
+    The documents are loaded in ``batches`` inserts by a hash of the id. A fifth
+    of them come with a count of an older text (one token more than half), which
+    a later batch revises; a fifth come twice, and the second copy is deleted as it
+    came by the last batch.
+    """
+    part = lambda n, salt: F.coalesce(F.pmod(F.crc32(F.concat(F.lit(salt), F.col("doc_id").cast("string")).cast("binary")), F.lit(n)), F.lit(0))
+    old = F.when(part(5, "old") == 0, F.floor(F.col("tokens") / 2) + 1).otherwise(F.col("tokens")).cast("long")
+    twice = F.when(part(5, "twice") == 1, 2).otherwise(1)
+    first = rows.withColumns({"change": F.lit("insert"), "part": part(batches, ""), "copies": twice}).withColumn("tokens", old)
+    first = first.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).drop("copies", "copy")
+    made = {f"load-{i}": first.where(F.col("part") == i) for i in range(batches)}
+    made["revised"] = rows.where(part(5, "old") == 0).withColumns({"change": F.lit("revise"), "old_tokens": (F.floor(F.col("tokens") / 2) + 1).cast("long")})
+    made["deleted"] = rows.where(part(5, "twice") == 1).withColumn("change", F.lit("delete")).withColumn("tokens", old)
+    return made
+
+
 def token_counts(docs: DataFrame, batches: int = 4) -> DataFrame:
-    """Totals of all documents, loaded as ``batches`` inserts by a hash of the id, the first of which is committed twice.
+    """Totals of all documents, after the batches of ``history``, the first of which is committed twice.
 
     Null texts have no tokens; null sources and languages are groups; rows that
     repeat count again; an empty table has no groups; extra columns are not read.
     """
     with Scratch(docs.sparkSession) as scratch:
-        rows = scratch.table(counted(docs), "counted").withColumn("change", F.lit("insert"))
-        rollup = TokenRollup(docs.sparkSession, f"{scratch.root}/rollup")
-        part = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(batches)), F.lit(0))
-        for i in [*range(batches), 0]:
-            rollup.commit(f"load-{i}", rows.where(part == i))
+        rows = scratch.table(counted(docs), "counted")
+        rollup = TokenRollup(docs.sparkSession, f"{scratch.root}/rollup", private=True)
+        changes = history(rows, batches)
+        for name in [*changes, "load-0"]:
+            rollup.commit(name, changes[name])
         return checkpoint(rollup.totals())
 
 
-def default_path(spark: SparkSession) -> str:
-    return f"{shared_dir(spark)}/token-rollup"
-
-
 ORACLE_SQL = r"""
 SELECT source, lang, tokenizer, count(*) AS n_docs, CAST(sum(tokens) AS BIGINT) AS n_tokens
 FROM (SELECT source, lang, 'words-1' AS tokenizer, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS tokens FROM documents

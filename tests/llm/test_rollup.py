@@ -1,6 +1,7 @@
 import importlib.util
 
 import pytest
+from pyspark.sql import functions as F
 
 from fragstream.llm import rollup
 from fragstream.llm.manifest import Conflict, Manifests
@@ -41,6 +42,53 @@ def test_what_a_failed_commit_left_is_not_counted(spark, store):
     assert totals(store) == {} and store.commit("b1", rows) and totals(store) == {("s", "en", "t"): (1, 3)}
 
 
+def test_a_late_attempt_changes_nothing(spark, store, monkeypatch):
+    """Two writers commit one batch id with different rows: the second has looked before the first committed."""
+    made = lambda n: spark.createDataFrame([("insert", "s", "en", "t", n, None)], CHANGES)
+    late = rollup.TokenRollup(spark, store.path)
+    sums = late._sums
+
+    def slow(changes):
+        assert store.commit("b", made(10))
+        return sums(changes)
+
+    monkeypatch.setattr(late, "_sums", slow)
+    assert not late.commit("b", made(99)) and totals(store) == {("s", "en", "t"): (1, 10)}
+
+
+def test_a_fold_keeps_batches_committed_meanwhile(spark, store, monkeypatch):
+    made = lambda n: spark.createDataFrame([("insert", "s", "en", "t", n, None)], CHANGES)
+    store.commit("a", made(1)), store.commit("b", made(2))
+    other = rollup.TokenRollup(spark, store.path)
+    before = store.totals
+
+    def slow(version=None):
+        got = before(version)
+        other.commit("c", made(4))
+        return got
+
+    monkeypatch.setattr(store, "totals", slow)
+    store.fold()
+    assert totals(other) == {("s", "en", "t"): (3, 7)} and len(other.log.latest()[1]["tables"]) == 2
+
+
+def test_the_query_deletes_and_revises(docs):
+    """The registered result comes by way of wrong counts: without its last batches the totals differ."""
+    rows = rollup.counted(docs).cache()
+    changes = rollup.history(rows, 4)
+    sums = lambda names: {tuple(r[:3]): (r.d, r.t) for r in _all(docs, changes, names)}
+    assert sums(list(changes)) != sums([n for n in changes if n != "deleted"]) != sums([n for n in changes if n.startswith("load")])
+    assert changes["revised"].count() > 0 and changes["deleted"].count() > 0
+
+
+def _all(docs, changes, names):
+    out = None
+    for n in names:
+        one = rollup.TokenRollup(docs.sparkSession, "file:///tmp/none")._sums(changes[n])
+        out = one if out is None else out.unionByName(one)
+    return out.groupBy(*rollup.KEYS).agg(F.sum("n_docs").alias("d"), F.sum("n_tokens").alias("t")).collect()
+
+
 def test_versions_are_taken_once(spark, tmp_path):
     log = Manifests(spark, f"file://{tmp_path}/m")
     log.commit(1, {"a": 1})
