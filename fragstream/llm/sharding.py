@@ -4,12 +4,15 @@ No step shuffles a document: arrivals are written as they are partitioned, in
 files well below the target size however large a partition is, and a merge reads
 the shards of one group in one task. A shard that is above the target all the
 same is cut; only a single row can be larger. Readers see the files of one
-manifest version, whole.
+manifest version, whole. A bulk load arrives in instalments: it is written once,
+its small files become arrivals one after the other, and each is compacted before
+the next.
 """
 
 from __future__ import annotations
 
 import math
+import time
 import uuid
 from dataclasses import dataclass
 
@@ -17,16 +20,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Scratch, checkpoint, delete_path, file_system
+from .common import Scratch, checkpoint, delete_path, file_system, row_bytes, sent
 from .manifest import Manifests
 
 TARGET_BYTES, FLOOR_BYTES, FAN_IN = 32 << 20, 1 << 18, 4
-#: Groups merged by one Spark job, each in a task of its own.
-GROUPS_A_JOB = 64
+#: Groups merged by one Spark job, each in a task of its own, and made current by one version.
+GROUPS_A_JOB = 1024
+#: Instalments of a bulk load, each of ``FAN_IN`` files at least.
+ARRIVALS = 4
+#: Files that no kept version names stay for so long, as a writer may be about to name them.
+GRACE_S = 7 * 86400
 #: From Spark 4.1 on, a union of single partitions is a single partition where this is true.
 UNION = "spark.sql.unionOutputPartitioning"
-#: Manifests of up to so many shards (some 100 bytes each) are broadcast; longer ones are joined as the engine sees fit.
-BROADCAST_SHARDS = 100_000
 
 
 @dataclass(frozen=True)
@@ -71,24 +76,12 @@ def _file() -> Column:
     return F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+/[^/]+)$", 1)
 
 
-def _row_bytes(schema: T.StructType) -> Column:
-    """About the bytes of a row before compression."""
-
-    def of(f: T.StructField) -> Column:
-        c = F.col(f"`{f.name.replace('`', '``')}`")
-        if isinstance(f.dataType, (T.NumericType, T.BooleanType, T.DatetimeType)):
-            return F.lit(8)
-        return F.coalesce(F.octet_length(c if isinstance(f.dataType, (T.StringType, T.BinaryType)) else c.cast("string")), F.lit(0)) + 4
-
-    return sum((of(f).cast("long") for f in schema), F.lit(0).cast("long"))
-
-
 class ShardStore:
     """A folder of shards under versioned manifests."""
 
-    def __init__(self, spark: SparkSession, path: str, target: int = TARGET_BYTES, floor: int = FLOOR_BYTES, fan_in: int = FAN_IN):
+    def __init__(self, spark: SparkSession, path: str, target: int = TARGET_BYTES, floor: int = FLOOR_BYTES, fan_in: int = FAN_IN, private: bool = False):
         self.spark, self.path, self.target, self.floor, self.fan_in = spark, path.rstrip("/"), target, floor, fan_in
-        self.log = Manifests(spark, f"{self.path}/manifests")
+        self.log = Manifests(spark, f"{self.path}/manifests", private)
 
     def shards(self, version: int | None = None) -> list[Shard]:
         now = self.log.latest()[1] if version is None else self.log.read(version)
@@ -103,23 +96,42 @@ class ShardStore:
         return [Shard(f"{name}/{f}", n) for f, n in sorted(found) if f.startswith("part-")]
 
     def _commit(self, add: list[Shard], remove: list[Shard], schema: T.StructType) -> int:
-        version, now = self.log.latest()
+        """Adds and removes shards in one version, whatever others commit meanwhile; what replaces shards that another writer has replaced is dropped again."""
         gone = {s.path for s in remove}
-        keep = [x for x in now.get("shards", []) if x[0] not in gone]
-        if len(keep) + len(gone) != len(now.get("shards", [])):
-            raise ValueError("a shard to be merged is not current any more")
-        self.log.commit(version + 1, {"shards": [*keep, *([s.path, s.bytes] for s in add)], "schema": schema.jsonValue()})
-        return version + 1
 
-    def append(self, docs: DataFrame) -> int:
-        """Adds arrivals; the version that has them.
+        def change(_: int, now: dict) -> dict | None:
+            held = now.get("shards", [])
+            if not gone <= {x[0] for x in held}:
+                return None
+            return {"shards": [*(x for x in held if x[0] not in gone), *([s.path, s.bytes] for s in add)], "schema": schema.jsonValue()}
+
+        version, now = self.log.update(change)
+        if gone and not {s.path for s in add} <= {x[0] for x in now["shards"]}:
+            for folder in {s.path.split("/")[0] for s in add}:
+                delete_path(self.spark, f"{self.path}/{folder}")
+        return version
+
+    def _arrived(self, docs: DataFrame, least_files: int = 1) -> list[Shard]:
+        """Writes documents as small files: of a ``fan_in``-th of the target before compression at most, and ``least_files`` where there are the rows.
 
-        One more scan of ``docs`` measures the bytes of a mean row, so that files have
-        a ``fan_in``-th of the target before compression.
+        One more scan of ``docs`` measures the bytes of a mean row.
         """
-        n, size = docs.agg(F.count("*"), F.sum(_row_bytes(docs.schema))).first()
-        rows = max(1, self.target // self.fan_in * n // max(size, 1)) if n else 0
-        return self._commit(self._written(docs, rows), [], docs.schema)
+        n, size = docs.agg(F.count("*"), F.sum(row_bytes(docs.schema))).first()
+        rows = max(1, min(self.target // self.fan_in * n // max(size, 1), n // least_files)) if n else 0
+        return self._written(docs, rows)
+
+    def append(self, docs: DataFrame) -> int:
+        """Adds an arrival; the version that has it."""
+        return self._commit(self._arrived(docs), [], docs.schema)
+
+    def load(self, docs: DataFrame, arrivals: int = ARRIVALS) -> int:
+        """Adds documents in instalments, each a version, and compacts after each; the last version."""
+        files = self._arrived(docs, arrivals * self.fan_in)
+        for i in range(arrivals):
+            if i == 0 or files[i::arrivals]:
+                self._commit(files[i::arrivals], [], docs.schema)
+                self.compact()
+        return self.compact(finish=True)
 
     def compact(self, finish: bool = False) -> int:
         """Cuts shards above the target and merges until no tier has enough similar shards; the last version."""
@@ -173,49 +185,62 @@ class ShardStore:
             return self.spark.createDataFrame([], schema)
         return self.spark.read.schema(schema).parquet(*(f"{self.path}/{p}" for p, _ in now["shards"]))
 
-    def expire(self) -> None:
-        """Deletes files that the newest version does not name."""
-        current = {s.path.split("/")[0]: set() for s in self.shards()}
-        for s in self.shards():
-            current[s.path.split("/")[0]].add(s.path)
+    def expire(self, versions: int = 1, grace_s: float = GRACE_S) -> None:
+        """Forgets all but the newest versions, and deletes files of over ``grace_s`` seconds that none of the kept ones names."""
+        kept = self.log.numbers()[-versions:]
+        if not kept:
+            return
+        named = {s.path for v in kept for s in self.shards(v)}
+        self.log.forget(kept[0])
+        folders = {p.split("/")[0] for p in named}
         fs, make = file_system(self.spark, self.path)
+        limit = (time.time() - grace_s) * 1000
         for d in fs.listStatus(make(self.path)):
             name = d.getPath().getName()
-            if name.startswith("data-") and name not in current:
-                delete_path(self.spark, f"{self.path}/{name}")
-            elif name in current:
+            if name.startswith("data-") and d.getModificationTime() <= limit:
+                if name not in folders:
+                    delete_path(self.spark, f"{self.path}/{name}")
+                    continue
                 for f in fs.listStatus(d.getPath()):
-                    if f.getPath().getName().startswith("part-") and f"{name}/{f.getPath().getName()}" not in current[name]:
+                    if f.getPath().getName().startswith("part-") and f"{name}/{f.getPath().getName()}" not in named:
                         fs.delete(f.getPath(), False)
 
     def numbered(self) -> DataFrame:
-        """All documents with ``shard`` (a number from 0 in the order of the manifest) and ``shard_bytes``."""
+        """All documents with ``shard`` (a number from 0 in the order of the manifest) and ``shard_bytes``; columns of these names are replaced."""
         found = self.shards()
         docs = self.read()
+        own = [c for c in docs.columns if c.lower() not in ("shard", "shard_bytes")]
+        packed = F.struct(*(F.col(f"`{c}`") for c in own)) if own else F.struct(F.lit(None))
         if not found:
-            return docs.withColumns({"shard": F.lit(0), "shard_bytes": F.lit(0).cast("long")}).limit(0)
+            return docs.select(packed.alias("__doc")).select("__doc.*", F.lit(0).alias("shard"), F.lit(0).cast("long").alias("shard_bytes")).limit(0)
         listed = self.spark.createDataFrame([(s.path, i, s.bytes) for i, s in enumerate(found)], "__file string, shard int, shard_bytes long")
-        named = docs.withColumn("__file", _file())
-        return named.join(F.broadcast(listed) if len(found) <= BROADCAST_SHARDS else listed, "__file").drop("__file")
+        return docs.select(packed.alias("__doc"), _file().alias("__file")).join(sent(listed), "__file").select("__doc.*", "shard", "shard_bytes")
 
 
 def shard(docs: DataFrame, path: str, **sizes) -> ShardStore:
-    """Appends the documents to the store at ``path``, compacts it and drops what is no longer named.
+    """Loads the documents into the store at ``path``, compacts it and drops what its last version does not name.
 
     All rows and columns stay as they are: nulls, empty and very long texts, and
     rows that repeat. An empty table makes a version without documents.
     """
-    store = ShardStore(docs.sparkSession, path, **sizes)
-    store.append(docs)
-    store.compact()
-    store.compact(finish=True)
-    store.expire()
+    store = ShardStore(docs.sparkSession, path, private=True, **sizes)
+    store.load(docs)
+    store.expire(grace_s=0)
     return store
 
 
+def described(store: ShardStore, scratch: Scratch, id_col: str = "doc_id") -> DataFrame:
+    """(id, shard, shard_bytes, shard_rows) of every row of a store."""
+    rows = scratch.table(store.numbered().select(F.col(id_col).alias("__id"), "shard", "shard_bytes"), "numbered")
+    counts = scratch.table(rows.groupBy("shard").agg(F.count("*").alias("shard_rows")), "counts")  # a row a shard
+    return rows.join(sent(counts), "shard").select(F.col("__id").alias(id_col), "shard", "shard_bytes", "shard_rows")
+
+
 def shard_of(docs: DataFrame, id_col: str = "doc_id", **sizes) -> DataFrame:
-    """(id, shard, shard_bytes, shard_rows) of every row, once the documents are sharded in a store that is dropped again."""
+    """(id, shard, shard_bytes, shard_rows) of every row, once the documents are sharded in a store that is dropped again.
+
+    The id may have any name and type; columns named as the results are only
+    stored.
+    """
     with Scratch(docs.sparkSession) as scratch:
-        rows = scratch.table(shard(docs, f"{scratch.root}/store", **sizes).numbered().select(id_col, "shard", "shard_bytes"), "numbered")
-        counts = scratch.table(rows.groupBy("shard").agg(F.count("*").alias("shard_rows")), "counts")  # a row a shard
-        return checkpoint(rows.join(F.broadcast(counts) if counts.count() <= BROADCAST_SHARDS else counts, "shard").select(id_col, "shard", "shard_bytes", "shard_rows"))
+        return checkpoint(described(shard(docs, f"{scratch.root}/store", **sizes), scratch, id_col))

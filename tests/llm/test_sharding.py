@@ -1,7 +1,9 @@
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
 from fragstream.llm import sharding
+from fragstream.llm.common import Scratch
 from fragstream.llm.manifest import Conflict
 from fragstream.llm.sharding import Shard, plan_merges
 
@@ -29,8 +31,13 @@ def test_arrivals_accumulate_and_old_versions_stay_readable(docs, tmp_path):
     store.compact(finish=True)
     assert last > 3 and rows(store.read()) == rows(docs) and rows(store.read(1)) == rows(parts[0])
     assert len(store.shards()) < len(store.shards(3))
-    store.expire()
+    store.expire(versions=2)  # nothing is old enough to go
     assert rows(store.read()) == rows(docs)
+    listed = {str(p) for p in (tmp_path / "s").glob("data-*/part-*")}
+    store.expire(versions=2, grace_s=0)
+    left = {str(p) for p in (tmp_path / "s").glob("data-*/part-*")}
+    assert left < listed and rows(store.read()) == rows(docs) == rows(store.read(store.log.latest()[0] - 1))
+    assert len(list((tmp_path / "s" / "manifests").glob("v*.json"))) == 2  # no version is listed that can't be read
 
 
 def test_merges_take_similar_sizes_up_to_the_target():
@@ -86,11 +93,66 @@ def test_uneven_rows_are_cut_to_the_target_but_never_a_row(spark, tmp_path):
     assert sum(s.bytes > target for s in old.shards()) == 1 and rows(old.read()) == rows(docs)
 
 
-def test_one_of_two_writers_wins(docs, tmp_path):
-    a = sharding.ShardStore(docs.sparkSession, f"file://{tmp_path}/s")
+def test_writers_at_the_same_time(docs, tmp_path, monkeypatch):
+    a, b = (sharding.ShardStore(docs.sparkSession, f"file://{tmp_path}/s", floor=1 << 10) for _ in range(2))
     a.append(docs.limit(3))
     version, now = a.log.latest()
     a.append(docs.limit(2))
     with pytest.raises(Conflict):
         a.log.commit(version + 1, now)
-    assert a.read().count() == 5
+    written = a._written
+
+    def slow(*args):
+        made = written(*args)
+        monkeypatch.setattr(a, "_written", written)
+        b.append(docs.limit(4))
+        return made
+
+    monkeypatch.setattr(a, "_written", slow)  # b commits between a's files and a's version
+    a.append(docs.limit(1))
+    assert a.read().count() == 10
+    old = a.shards()
+    b._merge([old[:2]])
+    before = sorted(str(p) for p in (tmp_path / "s").glob("data-*/part-*"))
+    a._commit(a._written(docs.limit(1)), old[1:3], docs.schema)  # one of them has been merged meanwhile
+    assert a.read().count() == 10 and sorted(str(p) for p in (tmp_path / "s").glob("data-*/part-*")) == before
+
+
+def test_every_load_arrives_and_is_merged(docs, none, tmp_path):
+    """A load of any size makes several versions, and fewer shards than it has written files."""
+    store = sharding.ShardStore(docs.sparkSession, f"file://{tmp_path}/s")
+    arrived, commit = [], store._commit
+
+    def seen(add, remove, schema):
+        arrived.append((len(add), len(remove)))
+        return commit(add, remove, schema)
+
+    store._commit = seen
+    store.load(docs)
+    loads, merges = [a for a, r in arrived if not r], [(a, r) for a, r in arrived if r]
+    assert len(loads) == sharding.ARRIVALS and min(loads) >= sharding.FAN_IN and len(merges) >= 2 and all(a < r for a, r in merges)
+    assert store.log.latest()[0] == len(arrived) and len(store.shards()) == 1 and rows(store.read()) == rows(docs)
+
+
+def test_digest_equals_the_files(docs, tmp_path):
+    """Brute force: what pyarrow finds in each file of the manifest."""
+    store = sharding.shard(docs.repartition(9), f"file://{tmp_path}/s", target=1 << 13, floor=1 << 11)
+    assert len(store.shards()) > 2
+    expected = []
+    for i, s in enumerate(store.shards()):
+        path = tmp_path / "s" / s.path
+        ids = pq.read_table(path, columns=["doc_id"]).column(0).to_pylist()
+        expected += [(d, i, path.stat().st_size, len(ids)) for d in ids]
+    with Scratch(docs.sparkSession) as scratch:
+        assert sorted(map(str, expected)) == sorted(str(tuple(r)) for r in sharding.described(store, scratch).collect())
+
+
+def test_columns_named_as_the_results(docs, none):
+    named = docs.selectExpr("doc_id as shard_rows", "text", "cast(doc_id as string) as Shard", "1 as shard_bytes", "'x' as __file", "2 as __doc")
+    got = sharding.shard_of(named.withColumnRenamed("shard_rows", "key"), id_col="key")
+    assert got.columns == ["key", "shard", "shard_bytes", "shard_rows"] and got.count() == docs.count()
+    with Scratch(docs.sparkSession) as scratch:
+        made = sharding.shard(named, f"{scratch.root}/s").numbered()
+        assert made.columns == ["shard_rows", "text", "__file", "__doc", "shard", "shard_bytes"] and made.count() == docs.count()
+        assert made.where("__file <> 'x' or __doc <> 2 or shard <> 0").count() == 0
+        assert sharding.shard(named.limit(0), f"{scratch.root}/e").numbered().columns == made.columns
