@@ -21,24 +21,33 @@ from pyspark.sql import functions as F
 
 from ..shipping import ship
 from .bytesgrams import FOLD, P, SPACE, lean, mix, slices, word_hashes, words
-from .common import Scratch, checkpoint
-from .graph import components
+from .common import Scratch, checkpoint, sent
+from .graph import components, hub, nearest
 
 SHINGLE, BANDS, ROWS = 5, 64, 6
 PERMS = BANDS * ROWS // 2
 SHARE = (75, 100)  # linked if 100 * intersection >= 75 * union
 #: Members of a candidate bucket are compared in tiles of so many.
 TILE = 512
-#: How far 32 bits of each shingle may misstate an intersection or a union; such pairs are confirmed like all others.
-SLACK = 2
-#: Ids up to this many (8 bytes each) are broadcast to pick out texts; above it the texts are shuffled by id.
-BROADCAST_IDS = 2_000_000
+#: And so many bytes of shingles at most, by the mean of the bucket; members of a hub are confirmed in groups of so many bytes of shingles.
+TILE_BYTES = 4 << 20
 
 _rng = np.random.default_rng(75)
 FACTORS = _rng.integers(0, 2**32, PERMS, dtype=np.uint32) | np.uint32(1)
 SHIFTS = _rng.integers(0, 2**32, PERMS, dtype=np.uint32)
-#: Each band takes minima and maxima of different permutations.
-SLOTS = _rng.permutation(2 * PERMS).reshape(BANDS, ROWS)
+#: Each band takes minima of half a band of permutations, and maxima of the next ones, so that no permutation comes twice in a band.
+_half = _rng.permutation(PERMS).reshape(BANDS, ROWS // 2)
+SLOTS = np.concatenate([_half, PERMS + np.roll(_half, 1, axis=0)], axis=1)
+
+
+def slack(a: int, b: np.ndarray) -> np.ndarray:
+    """How far 32 bits of each shingle may misstate the intersection or union of sets of a and b shingles; pairs within it are confirmed like all others.
+
+    About a * b / 2**32 shingles of two sets meet by chance; six standard
+    deviations and 2 more are allowed for.
+    """
+    chance = (a + b) * np.minimum(a, b).astype(float) / 2**32
+    return np.ceil(2 + chance + 6 * np.sqrt(chance)).astype(np.int64)
 
 
 def shingle_sets(texts: pa.Array, size: int = SHINGLE) -> Iterator[tuple[np.ndarray, bytes]]:
@@ -95,7 +104,7 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         size, digest, keys, seen = [], [], [], {}
-        for found, d in shingle_sets(batch.column(1)):
+        for found, d in shingle_sets(batch.column(3)):
             size.append(len(found))
             digest.append(d or None)
             if d and d not in seen:
@@ -103,7 +112,7 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys.append(seen.get(d))
         offs = np.cumsum([0, *(0 if k is None else BANDS for k in keys)]).astype(np.int32)
         flat = np.concatenate([k for k in keys if k is not None]) if offs[-1] else np.zeros(0, np.int64)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int64()), pa.array(digest, pa.binary()), pa.ListArray.from_arrays(pa.array(offs), pa.array(flat))], ["id", "n", "digest", "bands"])
+        yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(size, pa.int64()), pa.array(digest, pa.binary()), pa.ListArray.from_arrays(pa.array(offs), pa.array(flat))], ["row", "id", "copy", "n", "digest", "bands"])
 
 
 @lean
@@ -151,8 +160,9 @@ def _tile(group: pd.DataFrame) -> pd.DataFrame:
             both = np.add.reduceat(mark[code], first)
             mark[at] = 0
             union = len(own) + size - both
-            near = np.flatnonzero((SHARE[1] * (both + SLACK) >= SHARE[0] * (union - SLACK)) & (comp != c))
-            close = SHARE[1] * (both - SLACK) < SHARE[0] * (union + SLACK)
+            off = slack(len(own), size)
+            near = np.flatnonzero((SHARE[1] * (both + off) >= SHARE[0] * (union - off)) & (comp != c))
+            close = SHARE[1] * (both - off) < SHARE[0] * (union + off)
             best: dict[int, int] = {}
             for j in near[np.argsort(-(both[near] / np.maximum(union[near], 1)), kind="stable")].tolist():
                 if close[j] or comp[j] not in best:
@@ -165,82 +175,111 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
     """Per row of ``docs``: the id, n_shingles, component_id and kept, as op1's contract says.
 
     Steps: (1) signatures in one scan; rows with the same word sequence form a
-    class and only its smallest id goes on; (2) buckets of equal band keys, each
-    member paired with the bucket's smallest id; (3) pairs confirmed on full
-    sets, components; (4) in buckets that still hold several components,
+    class, of which one row goes on as a node; (2) buckets of equal band keys,
+    each member paired with the bucket's smallest node; (3) pairs confirmed on
+    full sets, components; (4) in buckets that still hold several components,
     members outside the most frequent one are compared with all others by their
     shingles, in bounded tiles, and what links components is confirmed: a large
     bucket costs no pair within what is already connected, and no link is lost.
 
-    Nulls: a null text has no words; a row with a null id has the smallest id of
-    its class as component, or null. Rows that repeat an id count as one
-    document. Empty texts are alone. Extra columns are not read. An empty table
-    gives an empty result.
+    Nulls: a null text has no words. Rows with a null id take part like all
+    others; the smallest id of their component is theirs, or null. Rows that
+    share an id count as one document, whatever their texts: what links one of
+    them links the id. Empty texts are alone. Extra columns are not read. An
+    empty table gives an empty result.
     """
     spark = docs.sparkSession
     ship(spark)
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    text = F.col(f"`{text_col}`")
+    # an id and a hash of the text name a text in docs; rows are numbered for good only once they are written
+    texts = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.xxhash64(text).alias("copy"), text.alias("text"))
     with Scratch(spark) as scratch:
-        signed = scratch.table(texts.mapInArrow(_signed, "id long, n long, digest binary, bands array<long>"), "signed")
-        classes = scratch.table(signed.where("digest is not null").groupBy("digest").agg(F.min("id").alias("rep")), "classes")
-        # an id that several rows carry with different texts ties their classes together
-        single = signed.where("id is not null and digest is not null")
-        reps = single.join(classes.where("rep is not null").select(F.col("digest").alias("__d"), "rep"), (F.col("digest") == F.col("__d")) & (F.col("id") == F.col("rep")), "left_semi")
-        keyed = reps.select("id", F.explode("bands").alias("band"))
-        buckets = keyed.groupBy("band").agg(F.min("id").alias("hub"), F.max("id").alias("top")).where("hub <> top").select(F.col("band").alias("__b"), "hub")
-        members = scratch.table(keyed.join(buckets, F.col("band") == F.col("__b")).select("band", "hub", "id"), "members")
-        pairs = scratch.table(members.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct(), "pairs")
-        ties = single.join(classes, "digest").where("id <> rep").select(F.col("rep").alias("a"), F.col("id").alias("b")).distinct()
-        tied = single.groupBy("id").agg(F.min("digest").alias("x"), F.max("digest").alias("y")).where("x <> y").select("id")
-        ties = ties.join(tied, F.col("b") == tied["id"], "left_semi")
-        links = scratch.table(_confirmed(pairs, texts, scratch, "star"), "links0")
-        edges = links.union(ties)
+        rows = texts.select(F.monotonically_increasing_id().alias("row"), "id", "copy", "text")
+        signed = scratch.table(rows.mapInArrow(_signed, "row long, id long, copy long, n long, digest binary, bands array<long>"), "signed")
+        worded = signed.where("digest is not null")
+        first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row", "copy")).alias("r")
+        classes = scratch.table(worded.groupBy("digest").agg(first).select("digest", F.col("r.row").alias("node"), "r.id", "r.copy"), "classes")
+        reps = signed.join(classes.select("node"), F.col("row") == F.col("node"), "left_semi")
+        keyed = reps.select(F.col("row").alias("node"), "n", F.explode("bands").alias("band"))
+        # buckets of the same members count once: two sums of hashes, the number and the ends tell them apart
+        sums = [F.sum(F.xxhash64(F.col("node"), F.lit(i)).cast("decimal(20,0)")).alias(f"s{i}") for i in range(2)]
+        buckets = keyed.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("top"), F.count("*").alias("size"), *sums).where("hub <> top")
+        buckets = buckets.groupBy("hub", "top", "size", "s0", "s1").agg(F.min("band").alias("__b")).select("__b", "hub")
+        members = scratch.table(keyed.join(buckets, F.col("band") == F.col("__b")).select("band", "hub", "node", "n"), "members")
+        pairs = scratch.table(members.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
+        links = scratch.table(_confirmed(pairs, classes, texts, scratch, "star"), "links0")
+        edges = links.union(_ties(worded, classes, scratch))
         found = scratch.table(components(edges, scratch, "cc-"), "comp")
         opened = _opened(members, found, scratch)
         if not opened.isEmpty():
-            fresh = scratch.table(_linking(opened, texts, scratch), "fresh")
-            more = scratch.table(_confirmed(fresh, texts, scratch, "rest"), "links1")
+            fresh = scratch.table(_linking(opened, classes, texts, scratch), "fresh")
+            more = scratch.table(_confirmed(fresh, classes, texts, scratch, "rest"), "links1")
             if not more.isEmpty():
                 found = scratch.table(components(edges.union(more), scratch, "cc1-"), "comp1")
-        named = classes.select(F.col("digest").alias("__d"), "rep").join(found.select("node", "component"), F.col("rep") == F.col("node"), "left").select("__d", F.coalesce("component", "rep").alias("component"))
+        # each component's smallest id; classes without a link have their own
+        ided = scratch.table(found.join(classes.select(F.col("node").alias("__n"), "id"), F.col("node") == F.col("__n")).select("node", "component", "id"), "ided")
+        least = ided.groupBy(F.col("component").alias("c")).agg(F.min("id").alias("m"), F.count("*").alias("size"))
+        large = least.where(F.col("size") > hub(ided.count())).select("c", F.struct("m").alias("hot"))
+        marked = ided.join(F.broadcast(large), F.col("component") == F.col("c"), "left").drop("c")
+        rest = marked.where("hot is null").join(least, F.col("component") == F.col("c")).select("node", "m")
+        labels = marked.where("hot is not null").select("node", F.col("hot.m").alias("m")).union(rest).select(F.col("node").alias("__n"), "m", F.lit(True).alias("linked"))
+        named = classes.join(labels, F.col("node") == F.col("__n"), "left").select(F.col("digest").alias("__d"), F.when(F.col("linked"), F.col("m")).otherwise(F.col("id")).alias("component"))
         named = scratch.table(named, "named")  # both sides of the next join are then dealt anew, and a class of many copies can be split
         out = signed.select("id", "n", "digest").join(named, F.col("digest") == F.col("__d"), "left")
-        return checkpoint(out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id")).withColumn("kept", F.expr(f"{id_col} <=> component_id")))
+        component = F.when(F.col("__d").isNotNull(), F.col("component")).otherwise(F.col("id"))
+        return checkpoint(out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept")))
+
+
+def _ties(worded: DataFrame, classes: DataFrame, scratch: Scratch) -> DataFrame:
+    """Edges between the classes that one id's texts are in: the first of them and each other."""
+    several = worded.where("id is not null").groupBy("id").agg(F.min("digest").alias("x"), F.max("digest").alias("y")).where("x <> y").select("id")
+    several = scratch.table(several, "several")
+    texts = worded.join(sent(several), "id", "left_semi").select("id", "digest").distinct()
+    nodes = texts.join(classes.select("digest", "node"), "digest").select(F.col("id").alias("a"), F.col("node").alias("b"))
+    nodes = scratch.table(nodes, "ties")
+    tied, _ = nearest(nodes, hub(nodes.count()))  # an id may have a great many texts
+    return tied.where("b <> m").select(F.col("m").alias("a"), "b")
 
 
-def _picked(texts: DataFrame, ids: DataFrame) -> DataFrame:
-    """The texts of the ids, which are distinct and materialised."""
-    return texts.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "id", "left_semi")
+def _picked(nodes: DataFrame, classes: DataFrame, texts: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """(node, text) of the distinct materialised nodes."""
+    wanted = scratch.table(classes.join(nodes, "node").select("node", F.col("id").alias("__i"), F.col("copy").alias("__c")), f"wanted-{name}")
+    found = texts.join(sent(wanted), F.col("id").eqNullSafe(F.col("__i")) & (F.col("copy") == F.col("__c"))).select("node", "text")
+    return found.dropDuplicates(["node"])
 
 
-def _confirmed(pairs: DataFrame, texts: DataFrame, scratch: Scratch, name: str) -> DataFrame:
-    """The materialised pairs (a, b) whose full shingle sets reach the share.
+def _confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, scratch: Scratch, name: str) -> DataFrame:
+    """The materialised pairs (a, b) of nodes whose full shingle sets reach the share.
 
-    A hub with many members is confirmed in chunks of some 256, each with a copy
-    of the hub's text, so that no group grows with the number of copies.
+    A hub with many members is confirmed in chunks of some 256, fewer where its
+    text is long, each with a copy of the hub's text, so that no group grows with
+    the number of copies.
     """
-    ids = scratch.table(pairs.select(F.col("a").alias("id")).union(pairs.select(F.col("b").alias("id"))).distinct(), f"ids-{name}")
-    some = scratch.table(_picked(texts, ids).dropDuplicates(["id"]), f"texts-{name}")
-    sizes = pairs.groupBy("a").agg(F.ceil(F.count("*") / 256).cast("int").alias("chunks")).withColumnRenamed("a", "h")
-    dealt = pairs.join(sizes, F.col("a") == F.col("h")).select("a", "b", F.pmod(F.xxhash64("b"), F.col("chunks")).cast("int").alias("chunk"))
-    member = dealt.join(some, F.col("b") == F.col("id")).select("a", "chunk", "b", F.lit(1).alias("role"), "text")
-    hub = sizes.join(some, F.col("h") == F.col("id")).select(F.col("h").alias("a"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.col("h").alias("b"), F.lit(0).alias("role"), "text")
-    return member.union(hub).groupBy("a", "chunk").applyInPandas(_confirm, "a long, b long")
+    nodes = scratch.table(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct(), f"nodes-{name}")
+    some = scratch.table(_picked(nodes, classes, texts, scratch, name), f"texts-{name}")
+    counts = pairs.groupBy(F.col("a").alias("h")).agg(F.count("*").alias("count"))
+    hubs = counts.join(some, F.col("h") == F.col("node")).select("h", "text", F.ceil(F.col("count") * F.greatest(F.lit(1 / 256), F.octet_length("text") / F.lit(2.0 * TILE_BYTES))).cast("int").alias("chunks"))
+    several = scratch.table(hubs.where("chunks > 1").select(F.col("h").alias("__h"), "chunks"), f"hubs-{name}")
+    dealt = pairs.join(sent(several), F.col("a") == F.col("__h"), "left").select("a", "b", F.coalesce(F.pmod(F.xxhash64("b"), F.col("chunks")), F.lit(0)).cast("int").alias("chunk"))
+    member = dealt.join(some, F.col("b") == F.col("node")).select("a", "chunk", "b", F.lit(1).alias("role"), "text")
+    own = hubs.select(F.col("h").alias("a"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), F.col("h").alias("b"), F.lit(0).alias("role"), "text")
+    return member.union(own).groupBy("a", "chunk").applyInPandas(_confirm, "a long, b long")
 
 
 def _opened(members: DataFrame, found: DataFrame, scratch: Scratch) -> DataFrame:
     """Members of the buckets that still hold several components; a bucket of two was settled by its one pair."""
-    tagged = members.join(found, F.col("id") == F.col("node"), "left").select("band", "id", F.coalesce("component", "id").alias("comp"))
-    counts = tagged.groupBy("band", "comp").agg(F.count("*").alias("n"))
-    mixed = counts.groupBy("band").agg(F.max_by("comp", F.struct("n", "comp")).alias("major"), F.count("*").alias("kinds"), F.sum("n").alias("n")).where("kinds > 1 and n > 2")
-    mixed = mixed.select(F.col("band").alias("__b"), "major", F.ceil(F.col("n") / TILE).cast("int").alias("tiles"))
-    return scratch.table(tagged.join(mixed, F.col("band") == F.col("__b")).select("band", "id", "comp", "major", "tiles"), "open")
+    tagged = members.join(found.withColumnRenamed("node", "__n"), F.col("node") == F.col("__n"), "left").select("band", "node", "n", F.coalesce("component", "node").alias("comp"))
+    counts = tagged.groupBy("band", "comp").agg(F.count("*").alias("size"), F.sum("n").alias("shingles"))
+    mixed = counts.groupBy("band").agg(F.max_by("comp", F.struct("size", "comp")).alias("major"), F.count("*").alias("kinds"), F.sum("size").alias("size"), F.sum("shingles").alias("shingles")).where("kinds > 1 and size > 2")
+    mixed = mixed.select(F.col("band").alias("__b"), "major", F.ceil(F.greatest(F.col("size") / TILE, F.col("shingles") * 4 / TILE_BYTES)).cast("int").alias("tiles"))
+    return scratch.table(tagged.join(mixed, F.col("band") == F.col("__b")).select("band", "node", "comp", "major", "tiles"), "open")
 
 
-def _linking(opened: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
+def _linking(opened: DataFrame, classes: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
     """Pairs to confirm between components that share a bucket; each minor member meets every other member of its bucket in one tile."""
-    ids = scratch.table(opened.select("id").distinct(), "openids")
-    sets = _picked(texts, ids).dropDuplicates(["id"]).mapInArrow(_listed, "id long, shingles binary")
+    nodes = scratch.table(opened.select("node").distinct(), "opennodes")
+    sets = _picked(nodes, classes, texts, scratch, "open").mapInArrow(_listed, "id long, shingles binary")
+    opened = opened.withColumnRenamed("node", "id")
     mine = F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int")
     every = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
     one, more = opened.where("tiles = 1").withColumns({"i": F.lit(0), "j": F.lit(0)}), opened.where("tiles > 1")

@@ -22,16 +22,17 @@ def brute(edges):
     return {x: top(x) for x in up}
 
 
-@pytest.mark.parametrize("split", [1_000_000, 0])
+@pytest.mark.parametrize("least", [64, 2])
 @pytest.mark.parametrize("edges", [
     [],
     [(1, 1), (None, 2), (3, None)],
     [(i, i + 1) for i in range(60)],
+    [(i, 500 + i % 3) for i in range(300)],
     [(60 - i, 0) for i in range(60)] + [(100, 101), (101, 99), (99, 99)],
     "random",
 ])
-def test_components(spark, monkeypatch, split, edges):
-    monkeypatch.setattr(graph, "SPLIT_EDGES", split)
+def test_components(spark, monkeypatch, least, edges):
+    monkeypatch.setattr(graph, "EDGES", least)
     if edges == "random":
         rng = random.Random(4)
         edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)]

@@ -13,9 +13,12 @@ def shingles(text, n=5):
 
 
 def brute(rows):
-    """(doc_id -> smallest id of its component), by all pairs."""
-    ids = sorted({r[0] for r in rows if r[0] is not None})
-    sets, up = {i: [shingles(r[1]) for r in rows if r[0] == i] for i in ids}, {i: i for i in ids}
+    """(doc_id -> smallest id of its component), by all pairs; rows with a null id, by their place, link as well."""
+    keys = [r[0] if r[0] is not None else 10**9 + at for at, r in enumerate(rows)]
+    ids = sorted(set(keys))
+    sets, up = {i: [] for i in ids}, {i: i for i in ids}
+    for i, r in zip(keys, rows, strict=True):
+        sets[i].append(shingles(r[1]))
 
     def top(x):
         while up[x] != x:
@@ -27,7 +30,7 @@ def brute(rows):
             if i < j and any(a and b and 100 * len(a & b) >= 75 * len(a | b) for a in sets[i] for b in sets[j]):
                 a, b = sorted((top(i), top(j)))
                 up[b] = a
-    return {i: top(i) for i in ids}
+    return {i: top(i) for i in ids if i < 10**9}
 
 
 def test_classes_equal_brute_force(docs, corpus):
@@ -57,6 +60,46 @@ def test_loose_chain_is_found_through_its_middle(spark):
     assert got == brute([(a, b) for a, b in rows])
 
 
+def test_every_text_of_an_id_counts(spark):
+    """Rows that share an id and hold different texts: what links either of them links the id, and a row without an id can be the middle."""
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcd")
+    rows = [(5, a), (5, b), (6, a + " more"), (7, b + " more"), (8, "x y z"), (8, None), (9, ""), (20, c), (None, c), (None, c + " 1"), (21, c + " 1 2"), (30, d), (30, d), (31, d.upper())]
+    df = spark.createDataFrame(rows, "`doc id` long, text string").repartition(3)
+    got = minhash.near_duplicate_classes(df, id_col="doc id")
+    assert got.columns == ["doc id", "n_shingles", "component_id", "kept"]
+    own = [(r[0], r.component_id, r.kept) for r in got.collect()]
+    expected = brute(rows)
+    assert expected[7] == 5 and expected[21] == 20
+    assert sorted((i, c) for i, c, _ in own if i is not None) == sorted((i, expected[i]) for i, _ in rows if i is not None)
+    assert [x for x in own if x[0] is None] == [(None, 20, False)] * 2 and all(k == (i == c) for i, c, k in own)
+
+
+def test_an_id_with_very_many_texts(spark):
+    rows = [(7, f"only text {i} of one id") for i in range(300)] + [(3, "only text 250 of one id"), (1, "else")]
+    got = {(r.doc_id, r.component_id) for r in minhash.near_duplicate_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {(7, 3), (3, 3), (1, 1)}
+
+
+def test_long_sets_that_meet_by_chance_are_confirmed():
+    """32 bits of each of 200,000 shingles meet some ten times by chance; the slack covers it."""
+    rng = np.random.default_rng(6)
+    for n, m in ((200_000, 200_000), (400_000, 100_000), (500, 500)):
+        a, b = (np.unique(rng.integers(0, 2**32, k, dtype=np.uint64)) for k in (n, m))
+        assert len(np.intersect1d(a, b)) <= minhash.slack(n, np.array([m]))[0]
+    assert minhash.slack(500, np.array([500]))[0] == 3 and minhash.slack(200_000, np.array([200_000]))[0] > 18
+
+
+def test_tiles_find_the_real_link_beside_a_chance_one(monkeypatch):
+    """Two members of one component: the one that seems most similar is no link at full width, the other is; both are given to be confirmed."""
+    import pandas as pd
+
+    base = np.arange(1000, dtype=np.uint32)
+    seems, real = base[:749].tobytes() + np.arange(5000, 5002, dtype=np.uint32).tobytes(), base[:751].tobytes()
+    group = pd.DataFrame([(0, 9, 9, base.tobytes()), *((1, i, c, x) for i, c, x in ((9, 9, base.tobytes()), (1, 1, seems), (2, 1, real)))], columns=["role", "id", "comp", "shingles"])
+    got = {tuple(r) for r in minhash._tile(group).to_numpy().tolist()}
+    assert got == {(1, 9), (2, 9)}
+
+
 def test_no_rows(none):
     assert minhash.near_duplicate_classes(none).collect() == []
 
@@ -67,6 +110,7 @@ def test_min_and_max_both_estimate_the_similarity():
     same = minhash.signature(a) == minhash.signature(b)
     assert abs(same[: minhash.PERMS].mean() - 0.5) < 0.12 and abs(same[minhash.PERMS :].mean() - 0.5) < 0.12
     assert sorted(minhash.SLOTS.ravel()) == list(range(2 * minhash.PERMS))
+    assert all(len(set(band % minhash.PERMS)) == minhash.ROWS for band in minhash.SLOTS)  # no permutation twice in a band
 
 
 @pytest.mark.parametrize("text", ["", "a", "a b c d e f", "É é É é é é", "x" * 500 + " y"])
