@@ -68,6 +68,10 @@ class Condition:
         """Whether no further member can pass, after so many."""
         return False
 
+    def spent(self, emitted: int) -> Condition:
+        """What is left of the condition after so many members in earlier polls or runs; limits that are reset with each poll stay."""
+        return self
+
     def apply(self, df: DataFrame, resolve: Resolve, arrival: str | None = None, poll: str | None = None, **how) -> DataFrame:
         """The rows that pass. Limits take rows in the order of the column ``arrival``, anew for each value of ``poll`` where they are reset."""
         if not self.counts:
@@ -157,6 +161,9 @@ class _Many(Condition):
     def fingerprint(self) -> str:
         return "(" + f" {self.word} ".join(p.fingerprint() for p in self.parts) + ")"
 
+    def spent(self, emitted: int) -> Condition:
+        return replace(self, parts=tuple(p.spent(emitted) for p in self.parts))
+
 
 @dataclass(frozen=True)
 class And(_Many):
@@ -218,6 +225,15 @@ class MaxCount(Condition):
     def full(self, emitted: int) -> bool:
         return emitted >= self.count
 
+    def spent(self, emitted: int) -> Condition:
+        return self if self.reset_on_poll else replace(self, count=max(0, self.count - emitted))
+
+    def allows(self, path: str, found: Range | None) -> bool:
+        return self.count > 0
+
+    def prune(self, path, low, high, low_closed, high_closed, bounded) -> Column:
+        return F.lit(self.count > 0)
+
     def limit(self, df: DataFrame, arrival: str, poll: str | None = None) -> DataFrame:
         if self.reset_on_poll and poll:
             place = F.row_number().over(Window.partitionBy(poll).orderBy(arrival))

@@ -21,6 +21,19 @@ def last_version_only(members: DataFrame, entity: str = "is_version_of", timesta
     return out.where(~known | (F.col(timestamp) >= F.col("__t"))).select(*keep)
 
 
+def not_older(members: DataFrame, newest: DataFrame, entity: str = "is_version_of", timestamp: str = "timestamp") -> DataFrame:
+    """Members no older than the newest time (entity, timestamp) remembered for their entity; what has no entity or time stays."""
+    keep = members.columns
+    out = members.join(newest.select(F.col("entity").alias("__e"), F.col("timestamp").alias("__t")), F.col(entity) == F.col("__e"), "left")
+    return out.where(F.coalesce(F.col(timestamp) >= F.col("__t"), F.lit(True))).select(*keep)
+
+
+def newest(members: DataFrame, entity: str = "is_version_of", timestamp: str = "timestamp") -> DataFrame:
+    """(entity, timestamp): the newest time of each entity."""
+    known = F.col(entity).isNotNull() & F.col(timestamp).isNotNull()
+    return members.where(known).groupBy(F.col(entity).alias("entity")).agg(F.max(timestamp).alias("timestamp"))
+
+
 def latest_in_arrival_order(members: DataFrame, *arrival: Column | str, entity: str = "is_version_of", timestamp: str = "timestamp") -> DataFrame:
     """What a reader that emits at once lets through: members no older than any of their entity that arrived before."""
     so_far = F.max(timestamp).over(Window.partitionBy(entity).orderBy(*arrival).rowsBetween(Window.unboundedPreceding, Window.currentRow))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, fields
+from collections.abc import Callable
+from dataclasses import dataclass, field, fields, replace
+from urllib.parse import urlsplit
 
 from ..functions import partial_dates
 from ..operators.conditions import Condition
@@ -12,7 +14,13 @@ ORDERS = ("none", "ascending", "descending")
 
 @dataclass(frozen=True)
 class Fetch:
-    """How pages are fetched. ``max_retries`` 0 retries forever; ``safe`` also retries forever when no answer comes at all."""
+    """How pages are fetched. ``max_retries`` 0 retries forever; ``safe`` also retries forever when no answer comes at all.
+
+    Credentials go to ``auth_host`` alone: a host, or a host and port; a ``Config``
+    sets it to that of its url. ``concurrent`` limits the fetches from one origin.
+    ``open`` may replace how a request is opened: (request, timeout) to an answer
+    as ``urllib`` gives it.
+    """
 
     codes: tuple[int, ...] = (408, 425, 429, 500, 502, 503, 504)
     base_s: float = 0.5
@@ -24,6 +32,7 @@ class Fetch:
     timeout_s: float = 60.0
     headers: tuple[tuple[str, str], ...] = ()
     concurrent: int = 10
+    open: Callable | None = None
 
 
 @dataclass(frozen=True)
@@ -55,6 +64,8 @@ class Config:
     def __post_init__(self) -> None:
         if self.ordered not in ORDERS:
             raise ValueError(f"an order is one of {', '.join(ORDERS)}, not {self.ordered!r}")
+        if self.fetch.username is not None and self.fetch.auth_host is None and self.url.startswith(("http://", "https://")):
+            object.__setattr__(self, "fetch", replace(self.fetch, auth_host=urlsplit(self.url).netloc.rpartition("@")[2]))
 
     @property
     def timezone(self) -> str:

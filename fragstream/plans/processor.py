@@ -22,11 +22,19 @@ NAMES = {
     "lastVersionOnly": "last_version_only", "startFresh": "start_fresh", "defaultTimezone": "default_timezone",
 }
 OTHERS = ("output", "conditionFile", "fetch", "fetchConfig", "streamId", "sdsify")
+#: Predicates of retries, and the options they set.
+RETRY = {"code": "codes", "maxRetry": "maxRetries"}
 
 
 def fetch_of(options: Mapping[str, Any]) -> Fetch:
-    """``{"auth": {"auth": "user:password", "host"}, "concurrent", "retry": {"codes", "maxRetries"}, "safe"}``."""
-    auth, retry = options.get("auth") or {}, options.get("retry") or {}
+    """``{"auth": {"auth": "user:password", "host"}, "concurrent", "retry": {"codes", "maxRetries"}, "safe"}``; without a host, credentials are for that of the stream.
+
+    Retries are also known by their names in RDF, ``code`` and ``maxRetry``; other
+    names are an error.
+    """
+    auth, retry = options.get("auth") or {}, {RETRY.get(k, k): v for k, v in (options.get("retry") or {}).items()}
+    if unknown := (set(options) - {"auth", "concurrent", "retry", "safe"}) | (set(auth) - {"auth", "host", "type"}) | (set(retry) - set(RETRY.values())):
+        raise ValueError(f"unknown options of fetching: {', '.join(sorted(unknown))}")
     user, _, password = str(auth.get("auth", "")).partition(":")
     codes = retry.get("codes", Fetch.codes)
     return Fetch(

@@ -13,9 +13,15 @@ class DifferentConditions(ValueError):
 
 
 class State:
-    """Tables under a path. Writing members first, then ``emitted``, then ``pages``: after a crash in between, that wave is emitted again."""
+    """Tables under a path: the condition, pages, members that passed, the newest time of each entity, and the crawl that is under way.
 
-    TABLES = {"condition": "fingerprint string", "pages": "page_url string, immutable boolean", "emitted": "member_id string"}
+    Members go to the sink first, then to ``emitted`` and ``latest``, then their
+    pages to ``pages``, and then the crawl is forgotten. After a crash in between,
+    the crawl goes on with the pages it has, and members that are not in
+    ``emitted`` are emitted again.
+    """
+
+    TABLES = {"condition": "fingerprint string", "pages": "page_url string, immutable boolean", "emitted": "member_id string", "latest": "entity string, timestamp timestamp_ntz"}
 
     def __init__(self, spark: SparkSession, path: str, fresh: bool = False):
         self.spark, self.path = spark, path.rstrip("/")
@@ -50,3 +56,16 @@ class State:
 
     def emitted(self) -> DataFrame:
         return self.read("emitted")
+
+    def latest(self) -> DataFrame:
+        """(entity, timestamp): the newest time of each entity in all polls and runs so far."""
+        return self.read("latest").groupBy("entity").agg(F.max("timestamp").alias("timestamp"))
+
+    @property
+    def crawl(self) -> str:
+        """The folder of the crawl under way."""
+        return f"{self.path}/crawl"
+
+    def crawled(self) -> None:
+        """Forgets the crawl: its members are emitted and its pages known."""
+        delete_path(self.spark, self.crawl)

@@ -52,8 +52,15 @@ def assembled(quads: list[rdf.Quad], member: str, others: set[str], shape: Shape
     return list(dict.fromkeys(out + [q for q in quads if q[3][1] == member]))
 
 
-def rows_of(fetcher: Fetcher, url: str, info: Info, loose: bool) -> Iterator[tuple]:
-    """Rows of the members of one page."""
+def within(when: datetime | None, before: str | None, after: str | None) -> bool:
+    """Whether an instant lies strictly between two; an unknown one does only if neither is asked for."""
+    low, high = conditions.instant_of(after or ""), conditions.instant_of(before or "")
+    return when is not None and (low is None or when > low) and (high is None or when < high) if after or before else True
+
+
+def rows_of(fetcher: Fetcher, url: str, info: Info, config: Config) -> Iterator[tuple]:
+    """Rows of the members of one page that lie in the window of time asked for."""
+    loose = config.loose
     page = fetcher.get(url)
     quads = rdf.parse(page.text, page.url)
     ids = list(dict.fromkeys(o[1] for s, p, o, _ in quads if p == V.TREE + "member" and (loose or info.stream in (None, s[1]))))
@@ -63,6 +70,8 @@ def rows_of(fetcher: Fetcher, url: str, info: Info, loose: bool) -> Iterator[tup
             continue
         first = lambda p: next(iter(paths.walk(p, own, (V.IRI, m, None, None)) if p else ()), (None, None))[1]  # noqa: B023,E731
         when = conditions.instant_of(first(info.timestamp) or "")
+        if not within(when, config.before, config.after):
+            continue
         yield (m, when, first(info.version_of), first(paths.iri(V.TYPE)), page.url, rdf.write(own))
 
 
@@ -72,6 +81,9 @@ class _Crawler:
     def __init__(self, options: dict[str, str]):
         flag = lambda k: options.get(k.lower(), "false").lower() == "true"
         self.config = Config(url=options["url"], url_is_view=flag("urlIsView"), loose=flag("loose"), no_shape=flag("noShape"), shape_file=options.get("shapefile"), before=options.get("before"), after=options.get("after"), default_timezone=options.get("defaulttimezone", "AoE"), fetch=Fetch(max_retries=int(options.get("maxretries", "5"))))
+        for name in ("before", "after"):
+            if (text := getattr(self.config, name)) is not None and conditions.instant_of(text) is None:
+                raise ValueError(f"{name} is no date or dateTime: {text!r}")
         self.batch = int(options.get("pagesperpartition", "8"))
         self.condition: conditions.Condition | None = None
         self.info: Info | None = None
@@ -96,13 +108,15 @@ class _Crawler:
         return found
 
     def parts(self, urls: list[str]) -> list[Pages]:
+        """Partitions of ``batch`` pages, of more if there were else more partitions than fetches from one origin are allowed: each task fetches one page after the other."""
         info = replace(self.info, root=None)
-        return [Pages(tuple(urls[i : i + self.batch]), info) for i in range(0, len(urls), self.batch)]
+        size = max(self.batch, -(-len(urls) // max(1, self.config.fetch.concurrent)))
+        return [Pages(tuple(urls[i : i + size]), info) for i in range(0, len(urls), size)]
 
     def read(self, partition: Pages) -> Iterator[tuple]:
         fetcher = Fetcher(self.config.fetch)
         for url in partition.urls:
-            yield from rows_of(fetcher, url, partition.info, self.config.loose)
+            yield from rows_of(fetcher, url, partition.info, self.config)
 
 
 class _Batch(DataSourceReader):

@@ -41,11 +41,24 @@ def cache_control(header: str | None) -> tuple[bool, int | None]:
     return "immutable" in parts, int(age) if age.isdigit() else None
 
 
+class _Redirects(urllib.request.HTTPRedirectHandler):
+    """Follows redirects; credentials stay with the host that they are for."""
+
+    def redirect_request(self, req, fp, code, msg, headers, newurl):  # noqa: ANN001, PLR0913
+        made = super().redirect_request(req, fp, code, msg, headers, newurl)
+        if made is not None and urlsplit(newurl).netloc.lower() != urlsplit(req.full_url).netloc.lower():
+            made.remove_header("Authorization")
+        return made
+
+
+_OPENER = urllib.request.build_opener(_Redirects)
+
+
 class Fetcher:
-    """Fetches documents under one configuration; ``open`` may be replaced, as in tests."""
+    """Fetches documents under one configuration; its ``open`` may take the place of the one here."""
 
-    def __init__(self, config: Fetch, open_: Callable = urllib.request.urlopen, sleep: Callable[[float], None] = time.sleep):
-        self.config, self.open, self.sleep = config, open_, sleep
+    def __init__(self, config: Fetch, open_: Callable | None = None, sleep: Callable[[float], None] = time.sleep):
+        self.config, self.open, self.sleep = config, open_ or config.open or _OPENER.open, sleep
         self.gates: dict[str, threading.Semaphore] = defaultdict(lambda: threading.Semaphore(config.concurrent))
         self.lock = threading.Lock()
 
@@ -84,7 +97,9 @@ class Fetcher:
             wait *= 2
 
     def _may_sign(self, url: str) -> bool:
-        return self.config.username is not None and self.config.auth_host in (None, urlsplit(url).hostname, urlsplit(url).netloc)
+        """Whether credentials may go to a host: only to the one they are given for."""
+        own = (self.config.auth_host or "").lower()
+        return self.config.username is not None and own != "" and own in (urlsplit(url).hostname, urlsplit(url).netloc.rpartition("@")[2].lower())
 
     def _once(self, url: str, accept: str, auth: bool) -> Document:
         headers = {"Accept": accept} | dict(self.config.headers)

@@ -21,6 +21,8 @@ from .http import ACCEPT, ACCEPT_METADATA, Document, Fetcher
 _TERM = "struct<type:string,value:string,datatype:string,lang:string>"
 QUADS = f"array<struct<s:{_TERM},p:string,o:{_TERM},g:{_TERM}>>"
 SCHEMA = f"target string, page_url string, immutable boolean, max_age int, quads {QUADS}, nodes array<string>, error string"
+#: Pages of a crawl: ``wave`` is the level at which a page was fetched.
+CRAWLED = SCHEMA + ", wave int"
 
 
 def links_of(quads: list[rdf.Quad], page: str, loose: bool = False) -> list[relations.Link]:
@@ -43,6 +45,15 @@ def links_of(quads: list[rdf.Quad], page: str, loose: bool = False) -> list[rela
     return out
 
 
+def links_by_node(quads: list[dict], page: str, loose: bool = False) -> dict[str, list[relations.Link]]:
+    """The links of a fetched page, by the address they lead to; quads are as rows of pages hold them."""
+    term = lambda t: (t["type"], t["value"], t["datatype"], t["lang"])
+    by: dict[str, list[relations.Link]] = {}
+    for x in links_of([(term(q["s"]), q["p"], term(q["o"]), term(q["g"])) for q in quads], page, loose):
+        by.setdefault(x.node, []).append(x)
+    return by
+
+
 def followed(links: list[relations.Link], condition: Condition, zone: str) -> list[str]:
     """Nodes that the condition lets a reader follow, each once, in the order of the page."""
     by: dict[str, list[relations.Link]] = {}
@@ -70,12 +81,18 @@ def fetched(targets: list[str], config: Config, condition: Condition) -> list[tu
 
 
 def scan(targets: DataFrame, config: Config, condition: Condition) -> DataFrame:
-    """A row for each distinct address in the first column of ``targets``."""
+    """A row for each distinct address in the first column of ``targets``.
+
+    The addresses are dealt over as many tasks as there may be fetches at a time,
+    and each task fetches one page after the other: so the limit by origin holds
+    over all tasks.
+    """
     ship(targets.sparkSession)
     accept = ACCEPT_METADATA if config.include_metadata else ACCEPT
+    targets = targets.repartition(max(1, config.concurrent_fetches))
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        fetcher = Fetcher(config.fetch)
+        fetcher = Fetcher(replace(config.fetch, concurrent=1))
         for frame in frames:
             urls = list(frame.iloc[:, 0])
             for a in range(0, len(urls), 64):  # bounds what a task holds

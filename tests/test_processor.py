@@ -8,7 +8,7 @@ TEXT = """@prefix p: <http://pipe/#> . @prefix xsd: <http://www.w3.org/2001/XMLS
 <step> a p:Client ; p:url <http://host/stream> ; p:output <out> ; p:before "2025-01-01T00:00:00Z"^^xsd:dateTime ; p:after "2024-01-01T00:00:00Z"^^xsd:dateTime ;
   p:ordered "ascending" ; p:follow true ; p:interval 500 ; p:shapeFile "shape.ttl" ; p:noShape false ; p:savePath "state" ; p:loose true ; p:urlIsView true ;
   p:materialize true ; p:startFresh true ; p:lastVersionOnly true ; p:streamId "s" ; p:sdsify true ;
-  p:fetch [ p:concurrent 5 ; p:safe true ; p:auth [ p:auth "user:pass" ; p:host "host" ] ; p:retry [ p:codes 408, 503 ; p:maxRetries 3 ] ] .
+  p:fetch [ p:concurrent 5 ; p:safe true ; p:auth [ p:auth "user:pass" ; p:host "host" ] ; p:retry [ p:code 408, 503 ; p:maxRetry 3 ] ] .
 """
 
 
@@ -19,6 +19,12 @@ def test_every_option_is_read_from_rdf():
     assert (c.url, c.before, c.after, c.ordered, c.polling, c.poll_interval_ms) == ("http://host/stream", "2025-01-01T00:00:00Z", "2024-01-01T00:00:00Z", "ascending", True, 500)
     assert (c.shape_file, c.no_shape, c.state_path, c.loose, c.url_is_view, c.materialize, c.start_fresh, c.last_version_only) == ("shape.ttl", False, "state", True, True, True, True, True)
     assert (c.fetch.concurrent, c.fetch.safe, c.fetch.username, c.fetch.password, c.fetch.auth_host, c.fetch.codes, c.fetch.max_retries) == (5, True, "user", "pass", "host", (408, 503), 3)
+    one = processor.options_in('<step> <http://pipe/#url> <http://h/s> ; <http://pipe/#fetch> [ <http://pipe/#retry> [ <http://pipe/#code> 404 ; <http://pipe/#maxRetry> 9 ] ] .', "http://base/", "http://pipe/#")
+    c = processor.config_of(one)
+    assert (c.fetch.codes, c.fetch.max_retries) == ((404,), 9)
+    assert processor.config_of({"url": "http://h:81/s", "fetch": {"auth": {"auth": "u:p"}, "retry": {"codes": [500], "maxRetries": 2}}}).fetch.auth_host == "h:81"
+    with pytest.raises(ValueError, match="unknown options of fetching: tries"):
+        processor.config_of({"url": "http://h/s", "fetch": {"retry": {"tries": 1}}})
     with pytest.raises(ValueError, match="unknown options: speed"):
         processor.config_of({"url": "x", "speed": 1})
     with pytest.raises(ValueError, match="url is needed"):
