@@ -63,15 +63,16 @@ def rdf_list(node: tuple, find: Callable[[tuple, str], list[tuple]]) -> list[tup
     return out
 
 
-def values(path: Path, quads: Column, start: Column, depth: int = 8) -> Column:
+def values(path: Path, quads: Column, start: Column) -> Column:
     """Array of the terms that a path leads to from the term ``start``, in the order of the quads; native expressions only.
 
-    Repeated paths are followed ``depth`` steps at most.
+    Repeated paths are followed as many steps as there are quads: a step that
+    finds nothing new is followed by none that does.
     """
-    return _step(path, quads, F.array(start), depth)
+    return _step(path, quads, F.array(start))
 
 
-def _step(path: Path, quads: Column, now: Column, depth: int) -> Column:
+def _step(path: Path, quads: Column, now: Column) -> Column:
     if path.kind == "iri":
         return F.flatten(F.transform(now, lambda t: F.transform(F.filter(quads, lambda q: (q["p"] == path.parts[0]) & _same(q["s"], t)), lambda q: q["o"])))
     if path.kind == "inverse" and path.parts[0].kind == "iri":
@@ -79,25 +80,21 @@ def _step(path: Path, quads: Column, now: Column, depth: int) -> Column:
     if path.kind == "inverse":
         inner = path.parts[0]
         if inner.kind == "inverse":
-            return _step(inner.parts[0], quads, now, depth)
+            return _step(inner.parts[0], quads, now)
         if inner.kind == "sequence":
-            return _step(sequence(*(inverse(p) for p in reversed(inner.parts))), quads, now, depth)
-        return _step(Path(inner.kind, tuple(inverse(p) for p in inner.parts)), quads, now, depth)
+            return _step(sequence(*(inverse(p) for p in reversed(inner.parts))), quads, now)
+        return _step(Path(inner.kind, tuple(inverse(p) for p in inner.parts)), quads, now)
     if path.kind == "sequence":
         for p in path.parts:
-            now = _step(p, quads, now, depth)
+            now = _step(p, quads, now)
         return now
     if path.kind == "alternative":
-        return F.concat(*(_step(p, quads, now, depth) for p in path.parts))
-    found = now
-    if path.kind in ("optional", "any"):
-        out = now
-    else:
-        out = found = _step(path.parts[0], quads, now, depth)
-    for _ in range(1 if path.kind == "optional" else depth):
-        found = _step(path.parts[0], quads, found, depth)
-        out = F.concat(out, found)
-    return F.array_distinct(out)
+        return F.concat(*(_step(p, quads, now) for p in path.parts))
+    first = _step(path.parts[0], quads, now)
+    if path.kind == "optional":
+        return F.array_distinct(F.concat(now, first))
+    reached = F.array_distinct(now if path.kind == "any" else first)
+    return F.aggregate(quads, reached, lambda found, _: F.array_union(found, _step(path.parts[0], quads, found)))
 
 
 def _same(a: Column, b: Column) -> Column:

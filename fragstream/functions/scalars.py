@@ -56,13 +56,13 @@ def is_remote(url: str) -> bool:
     return url.startswith(("http://", "https://"))
 
 
+def remote(url: Column) -> Column:
+    """``is_remote`` of a column."""
+    return F.startswith(url, F.lit("http://")) | F.startswith(url, F.lit("https://"))
+
+
 def cache_directives(header: Column) -> Column:
     """Map of the directives of a Cache-Control header; those without a value map to an empty string."""
     parts = F.filter(F.transform(F.split(F.coalesce(header, F.lit("")), ","), lambda x: F.lower(F.trim(x))), lambda x: x != "")
     entries = F.transform(parts, lambda x: F.struct(F.trim(F.split_part(x, F.lit("="), F.lit(1))).alias("key"), F.trim(F.split_part(x, F.lit("="), F.lit(2))).alias("value")))
     return F.map_from_entries(F.array_distinct(entries))
-
-
-def same_term(a: Column, b: Column) -> Column:
-    """Term equality: all parts agree, null-safe."""
-    return a.eqNullSafe(b)

@@ -1,22 +1,7 @@
-"""The data model as Spark types: RDF terms, quads and members; and the vocabulary that describes streams."""
+"""Kinds of terms, and the vocabulary that describes streams."""
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
-TERM = T.StructType([T.StructField("type", T.StringType()), T.StructField("value", T.StringType()), T.StructField("datatype", T.StringType()), T.StructField("lang", T.StringType())])
-QUAD = T.StructType([T.StructField("s", TERM), T.StructField("p", T.StringType()), T.StructField("o", TERM), T.StructField("g", TERM)])
-QUADS = T.ArrayType(QUAD)
-MEMBER = T.StructType([
-    T.StructField("member_id", T.StringType()),
-    T.StructField("quads", QUADS),
-    T.StructField("timestamp", T.TimestampType()),
-    T.StructField("is_version_of", T.StringType()),
-    T.StructField("type", T.StringType()),
-    T.StructField("created", T.TimestampType()),
-    T.StructField("page_url", T.StringType()),
-])
-
 IRI, BLANK, LITERAL, DEFAULT = "iri", "blank", "literal", "default"
 
 # Public vocabularies.

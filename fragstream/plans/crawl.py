@@ -99,7 +99,8 @@ def waves(start: DataFrame, config: Config, condition: Condition, skip: DataFram
     count = wave = 0
     if crawl.written:
         before = crawl.pages()
-        count, last = before.agg(F.count("*"), F.max("wave")).first()
+        count = before.count()
+        last = spark.read.schema(pages.CRAWLED).parquet(crawl.path).agg(F.max("wave")).first()[0]  # of failed pages too
         wave = (last if last is not None else -1) + 1
         todo = _addresses(todo.union(before.select(F.explode("nodes").alias("target"))))
         todo = todo.join(crawl.seen(), F.col("target") == F.col("__t"), "left_anti")

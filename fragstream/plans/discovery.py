@@ -19,7 +19,6 @@ class Shape:
 
     nested: tuple[str, ...] = ()
     required: tuple[str, ...] = ()
-    required_nested: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)
@@ -64,7 +63,6 @@ def shape_of(index: Index, node: rdf.Term) -> Shape:
     """The template of a shape: nested shapes are followed, cycles end."""
     nested: list[str] = []
     required: list[str] = []
-    deep: list[str] = []
     seen, todo = set(), [(node, 0)]
     while todo:
         shape, depth = todo.pop(0)
@@ -76,12 +74,12 @@ def shape_of(index: Index, node: rdf.Term) -> Shape:
             if not path or path[0][0] != V.IRI:
                 continue
             least = index.find(prop, V.SHACL + "minCount")
-            if least and least[0][1].strip("+").isdigit() and int(least[0][1]) > 0:
+            if not depth and least and least[0][1].strip("+").isdigit() and int(least[0][1]) > 0:
                 (deep if depth else required).append(path[0][1])
             for inner in index.find(prop, V.SHACL + "node"):
                 nested.append(path[0][1])
                 todo.append((inner, depth + 1))
-    return Shape(tuple(dict.fromkeys(nested)), tuple(dict.fromkeys(required)), tuple(dict.fromkeys(deep)))
+    return Shape(tuple(dict.fromkeys(nested)), tuple(dict.fromkeys(required)))
 
 
 def load(fetcher: Fetcher, url: str, accept: str = ACCEPT) -> tuple[Document, Index]:

@@ -43,7 +43,7 @@ class _Guard:
         self.run = run
 
     def __enter__(self) -> None:
-        self.run._gate()
+        pass
 
     def __exit__(self, kind, error, _) -> bool:
         if isinstance(error, Closed):
@@ -243,6 +243,7 @@ class Replication:
     def run(self, sink: Callable[[DataFrame], None]) -> None:
         """Emits one crawl to a sink, then saves the state."""
         with _Guard(self):
+            self._gate()
             sink(self.members())
             self.commit()
 
@@ -260,6 +261,7 @@ class Replication:
         if info.dump or self.config.last_version_only or self.condition.counts:
             return self.run(sink)
         with _Guard(self):
+            self._gate()
             descending = self.order == "descending"
             start, skip = self._start()
             known = {r[0] for r in skip.collect()} if skip is not None else set()
@@ -302,6 +304,7 @@ class Replication:
         poll = 0
         with _Guard(self):
             while True:
+                self._gate()
                 if poll:
                     self._emit("poll", poll)
                     self.config = replace(self.config, refetch_mutable=True)
@@ -312,7 +315,6 @@ class Replication:
                 if polls is not None and poll >= polls:
                     return
                 (sleep or self._closing.wait)(self.config.poll_interval_ms / 1000)
-                self._gate()
 
     def envelope(self, stream: str) -> DataFrame:
         return sinks.enveloped(self.members(), stream)

@@ -8,6 +8,16 @@ from pyspark.sql import functions as F
 from ..shared import delete_path, file_system
 
 
+def settled(pages: DataFrame) -> DataFrame:
+    """(page_url) of pages that never change: a page once immutable stays so."""
+    return pages.where("immutable").select("page_url").distinct()
+
+
+def changing(pages: DataFrame) -> DataFrame:
+    """(page_url) of known pages that may change."""
+    return pages.groupBy("page_url").agg(F.bool_or("immutable").alias("i")).where("not i").select("page_url")
+
+
 class DifferentConditions(ValueError):
     """The saved state belongs to another condition."""
 
@@ -47,12 +57,10 @@ class State:
             raise DifferentConditions(f"Different conditions: the state was saved for {known[0]}, now it is {fingerprint}")
 
     def immutable(self) -> DataFrame:
-        """(page_url) of pages that never change: a page once immutable stays so."""
-        return self.read("pages").where("immutable").select("page_url").distinct()
+        return settled(self.read("pages"))
 
     def mutable(self) -> DataFrame:
-        """(page_url) of known pages that may change."""
-        return self.read("pages").groupBy("page_url").agg(F.bool_or("immutable").alias("i")).where("not i").select("page_url")
+        return changing(self.read("pages"))
 
     def emitted(self) -> DataFrame:
         return self.read("emitted")

@@ -1,6 +1,6 @@
 import http.server
 import threading
-from pathlib import Path
+import time
 
 import pytest
 from pyspark.sql import SparkSession
@@ -28,11 +28,23 @@ class Site:
     """A web server for pages of text; counts requests, may fail some, marks pages as immutable."""
 
     def __init__(self):
-        self.pages, self.immutable, self.failures, self.requests, self.auth = {}, set(), {}, [], None
+        self.pages, self.immutable, self.failures, self.requests, self.auth, self.redirects = {}, set(), {}, [], None, {}
+        self.slow, self.now, self.most, self.lock = 0.0, 0, 0, threading.Lock()
         site = self
 
         class Handler(http.server.BaseHTTPRequestHandler):
             def do_GET(self):
+                with site.lock:
+                    site.now += 1
+                    site.most = max(site.most, site.now)
+                time.sleep(site.slow)
+                try:
+                    self.answer()
+                finally:
+                    with site.lock:
+                        site.now -= 1
+
+            def answer(self):
                 path = self.path.partition("?")[0]
                 site.requests.append((path, self.headers.get("Authorization"), self.headers.get("Accept")))
                 if site.auth and self.headers.get("Authorization") != site.auth:
@@ -44,6 +56,11 @@ class Site:
                     self.send_response(429)
                     self.end_headers()
                     return
+                if path in site.redirects:
+                    self.send_response(302)
+                    self.send_header("Location", site.redirects[path])
+                    self.end_headers()
+                    return
                 text = site.pages.get(path)
                 self.send_response(200 if text is not None else 404)
                 self.send_header("Content-Type", "text/turtle")
@@ -72,8 +89,3 @@ def site():
     s = Site()
     yield s
     s.server.shutdown()
-
-
-@pytest.fixture(scope="session")
-def fixtures():
-    return Path(__file__).parent / "fixtures"

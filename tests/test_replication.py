@@ -1,9 +1,12 @@
+import threading
+
 import pytest
 from pyspark.sql import functions as F
 
 from fragstream.functions import paths
 from fragstream.functions import terms as V
 from fragstream.operators.conditions import And, Leaf, MaxCount, Or
+from fragstream.plans.config import Fetch
 from fragstream.plans.replicate import replicate as replicate_with
 from fragstream.plans.state import DifferentConditions
 from fragstream.sources import sinks
@@ -197,3 +200,164 @@ def test_errors(spark, site):
     site.put("/broken", streams.stream("/gone", shape=False))
     with pytest.raises(OSError, match="404"):
         replicate(spark, site.base + "/broken").members()
+
+
+def test_an_older_version_does_not_follow_a_newer_one(spark, site, tmp_path):
+    """Latest versions hold over polls and restarts; one of the same time passes, as within a poll."""
+    site.put("/page", streams.stream("/page", shape=False) + streams.member("p", 1, "2024-01-05T00:00:00Z") + streams.member("q", 0, "2024-01-01T00:00:00Z"))
+    late = [streams.member("p", 0, "2024-01-04T00:00:00Z") + streams.member("q", 1, "2024-01-02T00:00:00Z"), streams.member("p", 2, "2024-01-05T00:00:00Z")]
+    polls, state = [], f"file://{tmp_path}/s"
+
+    def sink(df, poll):
+        polls.append(ids(df))
+        if poll < len(late):
+            site.put("/page", site.pages["/page"] + late[poll])
+
+    options = {"state_path": state, "last_version_only": True, "poll_interval_ms": 1}
+    replicate(spark, site.base + "/page", **options).follow(sink, polls=3)
+    assert polls == [["p#1", "q#0"], ["q#1"], ["p#2"]]
+    site.put("/page", site.pages["/page"] + streams.member("q", 5, "2024-01-01T12:00:00Z") + streams.member("r", 0, "2024-01-01T12:00:00Z"))
+    assert ids(replicate(spark, site.base + "/page", refetch_mutable=True, **options).members()) == ["r#0"]
+
+
+def test_a_limit_counts_over_polls_and_restarts_and_ends_the_crawl(spark, site, tmp_path):
+    url, state = streams.plain(site), f"file://{tmp_path}/s"
+    run = replicate(spark, url, condition=MaxCount(4), state_path=state)
+    seen = []
+    run.run(lambda df: seen.extend(ids(df)))
+    assert seen == ["e1#0", "e2#0", "e3#0", "e4#0"] and not site.fetched("/2")  # pages in the order they were found
+    assert replicate(spark, url, condition=MaxCount(4), state_path=state, refetch_mutable=True).members().count() == 0
+    site.put("/page", streams.stream("/page", shape=False) + streams.member("p", 0, "2024-01-05T00:00:00Z"))
+    for reset, expected in ((False, [["p#0"], ["p#1"], []]), (True, [["p#0"], ["p#1"], ["p#2"]])):
+        site.put("/page", streams.stream("/page", shape=False) + streams.member("p", 0, "2024-01-05T00:00:00Z"))
+        polls = []
+
+        def sink(df, poll):
+            polls.append(ids(df))  # noqa: B023
+            site.put("/page", site.pages["/page"] + streams.member("p", poll + 1, f"2024-01-0{poll + 6}T00:00:00Z"))
+
+        replicate(spark, site.base + "/page", condition=MaxCount(1 if reset else 2, reset), state_path=f"file://{tmp_path}/{reset}", poll_interval_ms=1).follow(sink, polls=3)
+        assert polls == expected
+
+
+def test_a_crawl_that_broke_off_goes_on(spark, site, tmp_path):
+    url, state = streams.plain(site), f"file://{tmp_path}/s"
+    page = site.pages.pop("/2")
+    errors = []
+    with pytest.raises(OSError, match="404"):
+        replicate(spark, url, state_path=state).on("error", errors.append).run(lambda df: None)
+    assert len(errors) == 1 and site.fetched("/0") == 1
+    site.pages["/2"] = page
+    run = replicate(spark, url, state_path=state)
+    assert run.members().count() == 12 and site.fetched("/0") == site.fetched("/1") == 1 and run.fragment_count == 4
+    run.commit()
+    assert not (tmp_path / "s" / "crawl").exists()
+
+
+def test_waves_of_tasks_go_on_too(spark, site, tmp_path):
+    from fragstream.operators.conditions import Condition
+    from fragstream.plans import crawl
+    from fragstream.plans.config import Config
+
+    start = spark.createDataFrame([(streams.plain(site).replace("/root", "/0"),)], "u string")
+    page = site.pages.pop("/1")
+    for local in (0, 64):
+        path = f"file://{tmp_path}/c{local}"
+        with pytest.raises(OSError, match="404"):
+            crawl.waves(start, Config(url="-", concurrent_fetches=2), Condition(), None, local, path)
+        site.pages["/1"] = page
+        before = site.fetched("/0")
+        got = crawl.waves(start, Config(url="-", concurrent_fetches=2), Condition(), None, local, path)
+        assert sorted(r.target[-1] for r in got.collect()) == ["0", "1", "2"] and site.fetched("/0") == before
+        site.pages.pop("/1")
+
+
+@pytest.mark.parametrize("order", ["ascending", "descending"])
+def test_members_leave_as_soon_as_nothing_can_come_before_them(spark, site, tmp_path, order):
+    url = streams.calendar(site)
+    parts, fetched = [], []
+
+    def sink(df):
+        parts.append([(r.timestamp, r.member_id) for r in df.collect()])
+        fetched.append(len({p for p, _, _ in site.requests}))
+
+    run = replicate(spark, url, url_is_view=True, ordered=order, state_path=f"file://{tmp_path}/s")
+    run.run_early(sink, pages_a_step=1)
+    whole = [(r.timestamp, r.member_id) for r in replicate(spark, url, url_is_view=True, ordered=order).members().collect()]
+    assert len(parts) == 2 and [x for p in parts for x in p] == whole and fetched[0] < fetched[1]
+    assert run.member_count == 6 and run.fragment_count == 5
+    again = []
+    replicate(spark, url, url_is_view=True, ordered=order, state_path=f"file://{tmp_path}/s").run_early(again.append)
+    assert again == []
+
+
+def test_a_link_that_leads_back_keeps_the_place_of_its_page(spark, site):
+    """Of two bounds on the way to a page the later one counts: what is found behind such a link does not hold back more than its page did."""
+    site.put("/root", streams.stream("/a", shape=False))
+    site.put("/a", streams.PREFIXES + streams.relation("/a", "/b", "GreaterThanRelation", "2024-02-01T00:00:00Z"))
+    site.put("/b", streams.PREFIXES + streams.member("b", 0, "2024-02-02T00:00:00Z") + streams.relation("/b", "/c", "GreaterThanRelation", "2024-01-01T00:00:00Z") + streams.relation("/b", "/d"))
+    site.put("/c", streams.PREFIXES + streams.member("c", 0, "2024-01-02T00:00:00Z"))
+    site.put("/d", streams.PREFIXES + streams.member("d", 0, "2024-02-03T00:00:00Z"))
+    got = []
+    replicate(spark, site.base + "/root", ordered="ascending").run_early(lambda df: got.extend(r.member_id.rpartition('/')[2] for r in df.collect()), pages_a_step=1)
+    assert got == ["c#0", "b#0", "d#0"]
+
+
+def test_events_pause_and_close(spark, site, tmp_path):
+    url, state = streams.plain(site), f"file://{tmp_path}/s"
+    run = replicate(spark, url, state_path=state, poll_interval_ms=60_000)
+    with pytest.raises(ValueError, match="an event is one of"):
+        run.on("bogus", print)
+    polls = []
+
+    def sink(df, poll):
+        polls.append(df.count())
+        threading.Timer(0.2, run.close).start()
+
+    run.follow(sink)  # closing ends the wait between polls
+    assert polls == [12]
+    run.run(lambda df: polls.append("closed"))
+    assert polls == [12]
+    held = replicate(spark, url, state_path=state, refetch_mutable=True)
+    held.pause()
+    t = threading.Thread(target=lambda: held.run(lambda df: polls.append(df.count())))
+    t.start()
+    t.join(1)
+    assert t.is_alive() and polls == [12]
+    held.unpause()
+    t.join(120)
+    assert polls == [12, 0]
+
+
+def test_credentials_stay_with_their_host(spark, site):
+    """A link to another host, and a redirect to it, ask for credentials and get none."""
+    from .conftest import Site
+
+    evil = Site()
+    try:
+        for s in (site, evil):
+            s.auth = "Basic dTpw"
+        site.put("/root", streams.stream("/a", shape=False))
+        site.put("/a", streams.PREFIXES + streams.member("a", 0, "2024-01-01T00:00:00Z") + f"<BASE/a> tree:relation [ tree:node <{evil.base}/x> ] .")
+        evil.put("/x", streams.PREFIXES)
+        fetch = Fetch(username="u", password="p")
+        with pytest.raises(OSError, match="401"):
+            replicate(spark, site.base + "/root", fetch=fetch).members()
+        assert site.fetched("/a") and evil.fetched("/x") and not any(a for _, a, _ in evil.requests)
+        site.redirects["/a"] = evil.base + "/x"
+        with pytest.raises(OSError, match="401"):
+            replicate(spark, site.base + "/root", fetch=fetch).members()
+        assert evil.fetched("/x") >= 2 and not any(a for _, a, _ in evil.requests)
+    finally:
+        evil.server.shutdown()
+
+
+def test_the_limit_by_origin_holds_over_all_tasks(spark, site):
+    """More pages than the driver fetches itself, dealt over tasks: no more are asked for at a time than allowed."""
+    site.put("/root", streams.stream("/0", shape=False))
+    site.put("/0", streams.PREFIXES + "".join(streams.relation("/0", f"/n{i}") for i in range(80)))
+    for i in range(80):
+        site.put(f"/n{i}", streams.PREFIXES)
+    site.slow = 0.02
+    assert replicate(spark, site.base + "/root", concurrent_fetches=3).pages().count() == 81
+    assert 1 < site.most <= 3

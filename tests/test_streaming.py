@@ -118,12 +118,25 @@ def test_retries_authentication_and_headers(site):
     site.auth = "Basic dTpw"
     with pytest.raises(FetchError, match="401"):
         Fetcher(Fetch(username="u", password="p", auth_host="elsewhere.example")).get(site.base + "/a")
+    with pytest.raises(FetchError, match="401"):
+        Fetcher(Fetch(username="u", password="p")).get(site.base + "/a")  # for no host known
     assert Fetcher(Fetch(username="u", password="p", auth_host="127.0.0.1")).get(site.base + "/a").text == "x"
     sent = [a for p, a, _ in site.requests if p == "/a" and a]
     assert sent == ["Basic dTpw"]
     assert cache_control(None) == (False, None) and cache_control("MAX-AGE=x, Immutable") == (True, None)
 
 
+def test_window_of_the_data_source(spark, site):
+    """Options before and after hold for members, not for pages alone."""
+    datasource.register(spark)
+    url = streams.plain(site)
+    read = lambda **o: spark.read.format("fragments").options(url=url, **o).load().count()
+    assert read() == 12 and read(after="2024-07-14T10:20:00Z") == 3
+    assert read(before="2024-07-14T09:20:00Z", after="2024-07-14T08:00:00Z") == 3
+    with pytest.raises(Exception, match="no date"):
+        read(after="soon")
+
+
 def test_command_line(spark, site, tmp_path, capsys):
     url = streams.plain(site)
     assert cli.main([url, "--ordered", "ascending", "--after", "2024-07-14T10:00:00Z", "--concurrent", "2"], spark) == 0
