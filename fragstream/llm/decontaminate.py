@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, checkpoint, lower_ascii
+from .common import Scratch, checkpoint, lower_ascii, sent
 
 WINDOW = 13
 # Everything but ASCII that is no letter or digit, listed one by one: Java looks such a class up in a table, ranges it compares in turn.
@@ -20,19 +20,14 @@ _OTHER = [c for c in range(128) if not chr(c).isalnum()]
 ANY_CASE_WORD = "[^" + "".join(rf"\x{c:02X}" for c in _OTHER) + "]+"
 #: A word of texts whose A-Z are lower-cased.
 WORD = "[^" + "".join(rf"\x{c:02X}" for c in [*_OTHER, *range(65, 91)]) + "]+"
-#: Windows up to this many are broadcast (8 bytes each in the scan); a larger set is joined by a shuffle.
+#: Hashes of so many windows (8 bytes each) are broadcast to one scan; a larger benchmark is scanned for block by block, as each scan costs less than dealing every window of the corpus.
 BROADCAST_WINDOWS = 2_000_000
-#: With their words and items (some 200 bytes each), for the verification, only this many.
-BROADCAST_GRAMS = 200_000
-#: Ids of documents to drop up to this many, or a hundredth of it with their hits, are broadcast.
-BROADCAST_DOCS = 2_000_000
 
 
 def _words(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(f"({WORD})"), F.lit(1))
 
 
-
 def windows_of(bench: DataFrame, scratch: Scratch, id_col: str, text_col: str) -> DataFrame:
     """(hash, size, gram, items): the distinct windows of all items with their words and the ids of the items that have them."""
     rows = bench.select(F.col(id_col).cast("string").alias("item"), _words(lower_ascii(F.col(text_col))).alias("w")).where(F.size("w") > 0)
@@ -68,22 +63,23 @@ def contaminated_windows(docs: DataFrame, bench: DataFrame, scratch: Scratch, id
     empty = "key {}, copy long, hits array<struct<pos:int,size:int>>, n_hit long, items array<string>".format(docs.schema[id_col].dataType.simpleString())
     if not sizes:
         return docs.sparkSession.createDataFrame([], empty)
-    n_windows = windows.count()
-    few = n_windows <= BROADCAST_WINDOWS
-    wanted = windows.select("hash").distinct()
+    blocks = -(-windows.select("hash").distinct().count() // BROADCAST_WINDOWS)
     scanned = texts.select("key", F.xxhash64("text").alias("copy"), F.posexplode(_scan(F.col("text"), sizes)).alias("which", "hashes"))
     scanned = scanned.select("key", "copy", "which", F.posexplode("hashes").alias("pos", "hash"))
-    found = scanned.join(F.broadcast(wanted) if few else wanted, "hash")
+    found = None
+    for b in range(blocks):
+        wanted = windows.select("hash").where(F.pmod("hash", F.lit(blocks)) == b).distinct()
+        one = scanned.join(F.broadcast(wanted), "hash")  # about BROADCAST_WINDOWS longs
+        found = one if found is None else found.unionByName(one)
     size = F.element_at(F.array(*map(F.lit, sizes)), F.col("which") + 1)
     hits = scratch.table(found.select("key", "copy", "pos", size.alias("size")).groupBy("key", "copy").agg(F.collect_set(F.struct("pos", "size")).alias("hits")), "hits")
     same = (F.col("key").eqNullSafe(F.col("__k"))) & (F.col("copy") == F.col("__c"))
     side = hits.withColumnsRenamed({"key": "__k", "copy": "__c"})
-    side = F.broadcast(side) if hits.count() <= BROADCAST_DOCS // 100 else side  # a row may hold some thousand hits
-    some = texts.withColumn("copy", F.xxhash64("text")).join(side, same).select("key", "copy", "text", "hits").dropDuplicates(["key", "copy"])
+    some = texts.withColumn("copy", F.xxhash64("text")).join(sent(side), same).select("key", "copy", "text", "hits").dropDuplicates(["key", "copy"])
     grams = F.element_at(F.transform(F.array(_words(lower_ascii(F.col("text")))), lambda w: F.transform("hits", lambda h: F.struct(h["pos"].alias("pos"), h["size"].alias("size"), F.array_join(F.slice(w, h["pos"] + 1, h["size"]), " ").alias("gram")))), 1)
     each = some.select("key", "copy", F.explode(grams).alias("h")).select("key", "copy", "h.*")
     right = windows.select(F.col("gram").alias("__g"), F.col("size").alias("__s"), "items")
-    sure = each.join(F.broadcast(right) if n_windows <= BROADCAST_GRAMS else right, (F.col("gram") == F.col("__g")) & (F.col("size") == F.col("__s")))
+    sure = each.join(sent(right), (F.col("gram") == F.col("__g")) & (F.col("size") == F.col("__s")))
     per_doc = sure.groupBy("key", "copy").agg(F.collect_set(F.struct("pos", "size")).alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
     covered = F.size(F.array_distinct(F.flatten(F.transform("hits", lambda h: F.sequence(h["pos"], h["pos"] + h["size"] - 1)))))
     return per_doc.select("key", "copy", "hits", covered.cast("long").alias("n_hit"), "items")
@@ -99,7 +95,8 @@ def contamination(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", tex
     with Scratch(docs.sparkSession) as scratch:
         found = contaminated_windows(docs, bench, scratch, id_col, text_col, **named)
         rows = docs.select(F.col(id_col).alias("__id"), F.coalesce(F.xxhash64(text_col), F.lit(0)).alias("__copy"), F.coalesce(F.regexp_count(F.col(text_col), F.lit(ANY_CASE_WORD)), F.lit(0)).cast("long").alias("n_words"))
-        out = rows.join(found, F.col("__id").eqNullSafe(F.col("key")) & (F.col("__copy") == F.col("copy")), "left")
+        found = scratch.table(found, "found")
+        out = rows.join(sent(found.drop("hits")), F.col("__id").eqNullSafe(F.col("key")) & (F.col("__copy") == F.col("copy")), "left")
         n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
         items = F.coalesce("items", F.array().cast("array<string>"))
         return checkpoint(out.select(F.col("__id").alias(id_col), "n_words", n_hit.alias("n_hit"), F.size(items).cast("long").alias("n_items"), F.sha2(F.array_join(items, ","), 256).alias("items_sha256"), ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated")))
@@ -115,12 +112,11 @@ def decontaminate(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", tex
         n_words = F.regexp_count(text, F.lit(ANY_CASE_WORD))
         side = found.select(F.col("key").alias("__k"), F.col("copy").alias("__c"), F.col("n_hit").alias("__n"), F.col("hits").alias("__hits"))
         same = doc[id_col].eqNullSafe(F.col("__k")) & (F.xxhash64(text) == F.col("__c"))
-        few = found.count() <= BROADCAST_DOCS // 100
         if remove == "documents":
             side = side.drop("__hits").where("__n > 0")
-            out = rows.join(F.broadcast(side) if found.count() <= BROADCAST_DOCS else side, same & (20 * F.col("__n") >= n_words), "left_anti")
+            out = rows.join(sent(side), same & (20 * F.col("__n") >= n_words), "left_anti")
         else:
-            out = rows.join(F.broadcast(side) if few else side, same, "left").withColumn("__doc", F.when(F.col("__n") > 0, doc.withField(text_col, _without(text, F.col("__hits")))).otherwise(doc))
+            out = rows.join(sent(side), same, "left").withColumn("__doc", F.when(F.col("__n") > 0, doc.withField(text_col, _without(text, F.col("__hits")))).otherwise(doc))
         return checkpoint(out.select("__doc.*"))
 
 

@@ -2,7 +2,9 @@ import hashlib
 import random
 import re
 
-from fragstream.llm import decontaminate
+import pytest
+
+from fragstream.llm import common, decontaminate
 
 from .conftest import prose
 
@@ -42,7 +44,11 @@ def rows():
     return docs + [(70, None), (71, ""), (None, items[0][1]), (5, items[1][1]), (5, items[1][1]), (72, "é UND É"), (73, prose(rng, 20000) + " " + items[2][1]), (74, items[2][1] * 50)], items
 
 
-def test_results_equal_brute_force(spark):
+@pytest.mark.parametrize("most", [2_000_000, 40])
+def test_results_equal_brute_force(spark, monkeypatch, most):
+    """With all windows in one broadcast, and with a benchmark of several blocks."""
+    monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", most)
+    monkeypatch.setattr(common, "BROADCAST_BYTES", most)
     docs, items = rows()
     df = spark.createDataFrame([(a, b, "x", 1) for a, b in docs], "doc_id long, text string, key string, copy int").repartition(3)
     got = decontaminate.contamination(df, spark.createDataFrame([(a, b, "y") for a, b in items], ITEMS)).collect()
