@@ -12,14 +12,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, Scratch, checkpoint, n_words
+from ..operators import ordering
+from .common import WORD, Scratch, checkpoint, n_words, sent
 
 MAX_EPOCHS = 3
 SEED = "mix-1"
-#: Hash buckets of a source; only the one at the cut is ordered document by document.
-HEX_DIGITS = 3
-#: Source rows up to this many (some 100 bytes each) are broadcast; beyond it the join is left to a shuffle.
-BROADCAST_SOURCES = 100_000
+#: Digits of the seeded hash by which a source is divided, again and again within the bucket at the cut; only the last such bucket, a
+#: 16 ** (HEX_DIGITS * LEVELS)-th of the source, is ordered document by document.
+HEX_DIGITS, LEVELS = 3, 2
 
 
 def source_key(c: Column) -> Column:
@@ -29,8 +29,8 @@ def source_key(c: Column) -> Column:
 
 def cycled_weights(keys: DataFrame, cycle: tuple[int, ...] = (5, 2, 1)) -> DataFrame:
     """(key, weight): the distinct keys in code point order take the weights of the cycle in turn."""
-    rank = F.row_number().over(Window.orderBy("key")) - 1
-    return keys.select("key").withColumn("weight", F.element_at(F.array(*map(F.lit, cycle)), F.pmod(rank, F.lit(len(cycle))) + 1).cast("double"))
+    rank = F.col("__place") - 1
+    return ordering.sequence(keys.select("key"), "key", name="__place").withColumn("weight", F.element_at(F.array(*map(F.lit, cycle)), (F.pmod(rank, F.lit(len(cycle))) + 1).cast("int")).cast("double")).drop("__place")
 
 
 def water_fill(sources: DataFrame, total: float, max_epochs: float = MAX_EPOCHS) -> DataFrame:
@@ -57,13 +57,11 @@ class Plan:
     """Per source: whole repetitions, and where in hash order the fractional one ends."""
 
     sources: DataFrame
-    few: bool
 
     def taken(self, sized: DataFrame) -> DataFrame:
         """Adds ``whole`` and ``part`` (words of the fractional repetition) to rows with __key, __h, __size, __tie."""
-        side = F.broadcast(self.sources) if self.few else self.sources
-        rows = sized.join(side, F.col("__key") == F.col("key"))
-        bucket = F.substring("__h", 1, HEX_DIGITS)
+        rows = sized.join(sent(self.sources), F.col("__key") == F.col("key"))
+        bucket = F.substring("__h", 1, HEX_DIGITS * LEVELS)
         at_cut = (bucket == F.col("cut")) & (F.col("need") > 0)
         clear = rows.where(~at_cut).withColumn("part", F.when(F.col("need") <= 0, F.lit(0)).when(bucket < F.col("cut"), F.col("__size")).otherwise(0).cast("long"))
         ordered = Window.partitionBy("__key").orderBy("__h", "__tie", "__size").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -73,8 +71,8 @@ class Plan:
 
 
 def sized(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: str = SEED) -> DataFrame:
-    """The rows with their size in words, their source's key and their place in the seeded order."""
-    tie = F.coalesce(F.col(id_col).cast("string"), F.lit("null"))
+    """The rows with their size in words, their source's key and their place in the seeded order; rows without an id are placed by their text."""
+    tie = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("null:"), F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))))
     return docs.withColumns({"__size": n_words(F.col(text_col)), "__key": source_key(F.col(source_col)), "__tie": tie, "__h": F.substring(F.md5(F.concat(F.lit(f"{seed}:"), tie).cast("binary")), 1, 16)})
 
 
@@ -84,7 +82,8 @@ def plan_mixture(rows: DataFrame, scratch: Scratch, weights=cycled_weights, max_
     ``weights`` makes (key, weight) of a DataFrame of the distinct keys, which
     grows with the sources alone. ``total`` defaults to all words there are.
     """
-    by_bucket = scratch.table(rows.groupBy("__key", F.substring("__h", 1, HEX_DIGITS).alias("bucket")).agg(F.sum("__size").alias("words")), "buckets")
+    part = lambda level: F.substring("__h", 1, HEX_DIGITS * level)
+    by_bucket = scratch.table(rows.groupBy("__key", part(1).alias("bucket")).agg(F.sum("__size").alias("words")), "buckets")
     by_source = scratch.table(by_bucket.groupBy(F.col("__key").alias("key")).agg(F.sum("words").alias("source_size")), "sources")
     if total is None:
         total = by_source.agg(F.sum("source_size")).first()[0] or 0
@@ -92,12 +91,17 @@ def plan_mixture(rows: DataFrame, scratch: Scratch, weights=cycled_weights, max_
     goal = scratch.table(water_fill(scratch.table(weighed, "weighed"), float(total), max_epochs), "targets")
     whole = F.when(F.col("source_size") > 0, F.least(F.floor(F.col("target") / F.col("source_size")), F.lit(max_epochs))).otherwise(0).cast("long")
     goal = goal.withColumn("whole", whole).withColumn("need", F.floor(F.col("target") - F.col("whole") * F.col("source_size") + 0.5).cast("long"))
-    running = F.sum("words").over(Window.partitionBy("__key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow))  # at most 16 ** HEX_DIGITS rows a source
-    ends = by_bucket.withColumn("upto", running).join(goal.select("key", "need"), F.col("__key") == F.col("key")).where("upto >= need")
-    ends = ends.groupBy("__key").agg(F.min(F.struct("bucket", (F.col("upto") - F.col("words")).alias("before"))).alias("c"))
-    plan = goal.join(ends.withColumnRenamed("__key", "__k"), F.col("key") == F.col("__k"), "left").select("key", "source_size", "target", "whole", "need", F.col("c.bucket").alias("cut"), F.col("c.before").alias("before_cut"))
-    plan = scratch.table(plan.withColumn("cut", F.coalesce("cut", F.lit("~"))).withColumn("before_cut", F.coalesce("before_cut", F.lit(0))), "plan")
-    return Plan(plan, plan.count() <= BROADCAST_SOURCES)
+    plan = goal.select("key", "source_size", "target", "whole", "need").withColumns({"cut": F.lit("~"), "before_cut": F.lit(0).cast("long")})
+    for level in range(1, LEVELS + 1):
+        if level > 1:  # the bucket at the cut, divided once more
+            inside = rows.join(sent(plan.select("key", "cut")), (F.col("__key") == F.col("key")) & (part(level - 1) == F.col("cut")))
+            by_bucket = scratch.table(inside.groupBy("__key", part(level).alias("bucket")).agg(F.sum("__size").alias("words")), f"buckets{level}")
+        running = F.sum("words").over(Window.partitionBy("__key").orderBy("bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow))  # at most 16 ** HEX_DIGITS rows a source
+        ends = by_bucket.withColumn("upto", running).join(plan.select("key", "need", "before_cut"), F.col("__key") == F.col("key")).withColumn("upto", F.col("upto") + F.col("before_cut")).where("upto >= need")
+        ends = ends.groupBy(F.col("__key").alias("__k")).agg(F.min(F.struct("bucket", (F.col("upto") - F.col("words")).alias("before"))).alias("c"))
+        plan = plan.join(ends, F.col("key") == F.col("__k"), "left").withColumns({"cut": F.coalesce("c.bucket", F.lit("~")), "before_cut": F.coalesce("c.before", F.lit(0))}).drop("__k", "c")
+        plan = scratch.table(plan, f"plan{level}")
+    return Plan(plan)
 
 
 def mixture_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
@@ -138,12 +142,14 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
 
 def _leading(text: Column, words: Column) -> Column:
-    """The first ``words`` words of a text, joined by single spaces."""
-    return F.array_join(F.slice(F.regexp_extract_all(text, F.lit(f"({WORD})"), F.lit(1)), F.lit(1), words.cast("int")), " ")
+    """A text up to the end of its ``words``-th word, with the white space that is there."""
+    found, gaps = F.regexp_extract_all(text, F.lit(f"({WORD})"), F.lit(1)), F.split(text, WORD, -1)
+    both = F.arrays_zip(F.slice(gaps, F.lit(1), words.cast("int")).alias("g"), F.slice(found, F.lit(1), words.cast("int")).alias("w"))
+    return F.array_join(F.transform(both, lambda x: F.concat(x["g"], x["w"])), "")
 
 
 ORACLE_SQL = r"""
-WITH d AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size, substr(md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 16) AS h FROM documents),
+WITH d AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size, coalesce(CAST(doc_id AS VARCHAR), 'null:' || md5(coalesce(text, ''))) AS tie, substr(md5('mix-1:' || tie), 1, 16) AS h FROM documents),
 s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
 w AS (SELECT source, source_size, CAST([5, 2, 1][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS DOUBLE) AS weight FROM s),
 o AS (SELECT *, row_number() OVER (ORDER BY 3.0 * source_size / weight, source NULLS LAST) AS k, sum(source_size) OVER () AS total, sum(weight) OVER () AS all_w FROM w),
@@ -151,6 +157,6 @@ c AS (SELECT *, coalesce(sum(source_size) OVER (ORDER BY k ROWS BETWEEN UNBOUNDE
 l AS (SELECT (total - held) / (all_w - gone) AS level FROM c WHERE (total - held) / (all_w - gone) * weight <= 3.0 * source_size ORDER BY k LIMIT 1),
 t AS (SELECT w.source, w.source_size, CASE WHEN l.level * w.weight > 3.0 * w.source_size THEN 3.0 * w.source_size ELSE l.level * w.weight END AS target FROM w, l),
 n AS (SELECT *, CASE WHEN source_size > 0 THEN least(CAST(floor(target / source_size) AS BIGINT), 3) ELSE 0 END AS whole FROM t),
-r AS (SELECT d.doc_id, d.size, n.source_size, n.target, n.whole, CAST(floor(n.target - n.whole * n.source_size + 0.5) AS BIGINT) AS need, CAST(sum(d.size) OVER (PARTITION BY d.source ORDER BY h, coalesce(CAST(doc_id AS VARCHAR), 'null'), d.size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) - d.size AS before FROM d JOIN n ON d.source IS NOT DISTINCT FROM n.source)
+r AS (SELECT d.doc_id, d.size, n.source_size, n.target, n.whole, CAST(floor(n.target - n.whole * n.source_size + 0.5) AS BIGINT) AS need, CAST(sum(d.size) OVER (PARTITION BY d.source ORDER BY h, tie, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) - d.size AS before FROM d JOIN n ON d.source IS NOT DISTINCT FROM n.source)
 SELECT doc_id, size, source_size, target, CAST(size * whole + least(greatest(need - before, 0), size) AS BIGINT) AS taken FROM r
 """

@@ -1,6 +1,7 @@
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from fragstream.llm import mixing
 from fragstream.llm.common import Scratch
@@ -66,6 +67,20 @@ def test_mixed_rows_hold_the_words_taken(docs, none):
     assert mixing.mix(none).count() == 0
 
 
+def test_a_cut_document_keeps_its_white_space(spark):
+    text = "  one\ttwo\n\nthree   four "
+    df = spark.createDataFrame([(text, n) for n in range(1, 5)], "t string, n int")
+    got = [r[0] for r in df.orderBy("n").select(mixing._leading(F.col("t"), F.col("n"))).collect()]
+    assert got == ["  one", "  one\ttwo", "  one\ttwo\n\nthree", "  one\ttwo\n\nthree   four"]
+
+
+def test_rows_without_an_id_are_spread(spark):
+    df = spark.createDataFrame([(None, f"text {i}", "a") for i in range(50)], "doc_id long, text string, source string")
+    assert mixing.sized(df, "doc_id", "text", "source").select("__h").distinct().count() == 50
+    got = mixing.mixture_of(df, total=51.0).collect()
+    assert sum(r.taken for r in got) == 51 and sorted(r.taken for r in got)[-1] <= 2
+
+
 def test_a_plan_is_small(spark, docs):
     with Scratch(spark) as scratch:
         rows = scratch.table(mixing.sized(docs.select("doc_id", "text", "source"), "doc_id", "text", "source"), "s")
