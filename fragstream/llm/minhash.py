@@ -197,15 +197,12 @@ def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: st
         rows = texts.select(F.monotonically_increasing_id().alias("row"), "id", "copy", "text")
         signed = scratch.table(rows.mapInArrow(_signed, "row long, id long, copy long, n long, digest binary, bands array<long>"), "signed")
         worded = signed.where("digest is not null")
-        first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row", "copy")).alias("r")
-        classes = scratch.table(worded.groupBy("digest").agg(first).select("digest", F.col("r.row").alias("node"), "r.id", "r.copy"), "classes")
-        reps = signed.join(classes.select("node"), F.col("row") == F.col("node"), "left_semi")
-        keyed = reps.select(F.col("row").alias("node"), "n", F.explode("bands").alias("band"))
-        # buckets of the same members count once: two sums of hashes, the number and the ends tell them apart
-        sums = [F.sum(F.xxhash64(F.col("node"), F.lit(i)).cast("decimal(20,0)")).alias(f"s{i}") for i in range(2)]
-        buckets = keyed.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("top"), F.count("*").alias("size"), *sums).where("hub <> top")
-        buckets = buckets.groupBy("hub", "top", "size", "s0", "s1").agg(F.min("band").alias("__b")).select("__b", "hub")
-        members = scratch.table(keyed.join(buckets, F.col("band") == F.col("__b")).select("band", "hub", "node", "n"), "members")
+        # the bands go with the row that is chosen: dealt once, and of copies in one place once for all
+        first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row", "copy", "bands")).alias("r")
+        classes = scratch.table(worded.groupBy("digest").agg(first).select("digest", F.col("r.row").alias("node"), "r.id", "r.copy", "r.bands"), "classes")
+        keyed = classes.select("node", F.explode("bands").alias("band"))
+        buckets = keyed.groupBy("band").agg(F.min("node").alias("hub"), F.max("node").alias("top")).where("hub <> top").select(F.col("band").alias("__b"), "hub")
+        members = scratch.table(keyed.join(buckets, F.col("band") == F.col("__b")).select("band", "hub", "node"), "members")
         pairs = scratch.table(members.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(), "pairs")
         links = scratch.table(_confirmed(pairs, classes, texts, scratch, "star"), "links0")
         edges = links.union(_ties(worded, classes, scratch))
@@ -267,23 +264,35 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, texts: DataFrame, scratch:
 
 
 def _opened(members: DataFrame, found: DataFrame, scratch: Scratch) -> DataFrame:
-    """Members of the buckets that still hold several components; a bucket of two was settled by its one pair."""
-    tagged = members.join(found.withColumnRenamed("node", "__n"), F.col("node") == F.col("__n"), "left").select("band", "node", "n", F.coalesce("component", "node").alias("comp"))
-    counts = tagged.groupBy("band", "comp").agg(F.count("*").alias("size"), F.sum("n").alias("shingles"))
-    mixed = counts.groupBy("band").agg(F.max_by("comp", F.struct("size", "comp")).alias("major"), F.count("*").alias("kinds"), F.sum("size").alias("size"), F.sum("shingles").alias("shingles")).where("kinds > 1 and size > 2")
-    mixed = mixed.select(F.col("band").alias("__b"), "major", F.ceil(F.greatest(F.col("size") / TILE, F.col("shingles") * 4 / TILE_BYTES)).cast("int").alias("tiles"))
-    return scratch.table(tagged.join(mixed, F.col("band") == F.col("__b")).select("band", "node", "comp", "major", "tiles"), "open")
+    """Members of the buckets that still hold several components; a bucket of two was settled by its one pair.
+
+    Of buckets of the same members one is enough: two sums of hashes and the
+    number of the members tell buckets apart.
+    """
+    tagged = members.join(found.withColumnRenamed("node", "__n"), F.col("node") == F.col("__n"), "left").select("band", "node", F.coalesce("component", "node").alias("comp"))
+    sums = [F.sum(F.xxhash64(F.col("node"), F.lit(i)).cast("decimal(20,0)")).alias(f"s{i}") for i in range(2)]
+    counts = tagged.groupBy("band", "comp").agg(F.count("*").alias("size"), *sums)
+    mixed = counts.groupBy("band").agg(F.max(F.struct("size", "comp")).alias("top"), F.count("*").alias("kinds"), F.sum("size").alias("size"), F.sum("s0").alias("s0"), F.sum("s1").alias("s1")).where("kinds > 1 and size > 2")
+    mixed = mixed.groupBy("size", "s0", "s1").agg(F.min(F.struct("band", "top")).alias("b")).select(F.col("b.band").alias("__b"), F.col("b.top.comp").alias("major"))
+    return scratch.table(tagged.join(mixed, F.col("band") == F.col("__b")).select("band", "node", "comp", "major"), "open")
 
 
 def _linking(opened: DataFrame, classes: DataFrame, texts: DataFrame, scratch: Scratch) -> DataFrame:
-    """Pairs to confirm between components that share a bucket; each minor member meets every other member of its bucket in one tile."""
+    """Pairs to confirm between components that share a bucket; each minor member meets every other member of its bucket in one tile.
+
+    Minor members are divided by their own number, so that a large bucket with
+    few of them is sent about once.
+    """
     nodes = scratch.table(opened.select("node").distinct(), "opennodes")
-    sets = _picked(nodes, classes, texts, scratch, "open").mapInArrow(_listed, "id long, shingles binary")
-    opened = opened.withColumnRenamed("node", "id")
-    mine = F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int")
-    every = F.explode(F.sequence(F.lit(0), F.col("tiles") - 1))
-    one, more = opened.where("tiles = 1").withColumns({"i": F.lit(0), "j": F.lit(0)}), opened.where("tiles > 1")
-    rest = one.unionByName(more.withColumn("i", every).withColumn("j", mine))
-    minor = one.unionByName(more.withColumn("i", mine).withColumn("j", every)).where("comp <> major")
-    tiles = minor.withColumn("role", F.lit(0)).unionByName(rest.withColumn("role", F.lit(1))).join(sets, "id").select("band", "i", "j", "role", "id", "comp", "shingles")
-    return tiles.groupBy("band", "i", "j").applyInPandas(_tile, "a long, b long").distinct()
+    sets = scratch.table(_picked(nodes, classes, texts, scratch, "open").mapInArrow(_listed, "id long, shingles binary"), "sets")
+    members = opened.withColumnRenamed("node", "id").withColumn("minor", F.col("comp") != F.col("major"))
+    weighed = members.join(sets.select("id", F.octet_length("shingles").alias("bytes")), "id")
+    tiles = lambda which: F.greatest(F.ceil(F.greatest(F.sum(F.when(which, 1).otherwise(0)) / TILE, F.sum(F.when(which, F.col("bytes")).otherwise(0)) / TILE_BYTES)), F.lit(1)).cast("int")
+    sizes = weighed.groupBy(F.col("band").alias("__b")).agg(tiles(F.col("minor")).alias("rows"), tiles(F.lit(True)).alias("cols"))
+    members = members.join(sizes, F.col("band") == F.col("__b"))
+    deal = lambda n: F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    rest = members.withColumn("i", every("rows")).withColumn("j", deal("cols")).withColumn("role", F.lit(1))
+    minor = members.where("minor").withColumn("i", deal("rows")).withColumn("j", every("cols")).withColumn("role", F.lit(0))
+    dealt = minor.unionByName(rest).select("band", "i", "j", "role", "id", "comp")
+    return dealt.join(sets, "id").groupBy("band", "i", "j").applyInPandas(_tile, "a long, b long").distinct()
