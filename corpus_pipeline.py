@@ -13,9 +13,6 @@ from pyspark.sql import functions as F
 
 from fragstream.llm import common, decontaminate, minhash, mixing, quality, sharding
 
-#: Numbers of dropped rows up to this many (8 bytes each) are broadcast; more are joined by a shuffle.
-BROADCAST_IDS = 4_000_000
-
 
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier does not reject."""
@@ -32,7 +29,7 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ranked = found.join(rows.select("__row", "doc_id"), "__row").withColumn("__rank", F.struct(F.col("doc_id").isNull(), "doc_id", "__row"))
     first = ranked.groupBy("component_id").agg(F.min("__rank").alias("__rank")).select(F.col("__rank")["__row"].alias("__row"))
     gone = common.checkpoint(found.select("__row").join(first, "__row", "left_anti"))
-    return rows.join(F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone, "__row", "left_anti").select(*(f"`{c}`" for c in docs.columns))
+    return rows.join(common.sent(gone), "__row", "left_anti").select(*(f"`{c}`" for c in docs.columns))
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
