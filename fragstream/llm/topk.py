@@ -83,6 +83,12 @@ class Queries:
         at = [dims * i // SLICES for i in range(SLICES + 1)]
         return list(zip(at, at[1:], strict=False))
 
+    def mine(self, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place, query) of the rows that are queries themselves; row numbers of queries are in order."""
+        at = np.minimum(np.searchsorted(self.row, own), max(0, len(self.row) - 1))
+        r = np.flatnonzero(self.row[at] == own)
+        return r, at[r]
+
     def exact(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(rows, queries) in a type in which every inner product is exact: floats where all sums fit 53 bits, else integers without a bound."""
         if _largest(rows) * _largest(self.vec) * max(1, self.vec.shape[1]) < 2**53:
@@ -116,11 +122,15 @@ def heads(runs: Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]], queries: Qu
     for own, _, vecs in runs:
         a, b = queries.exact(vecs)
         head = np.zeros((len(own), n), bool)
-        mine = own[:, None] == queries.row[None, :]
+        mine = queries.mine(own)
         for i, (x, y) in enumerate(queries.cuts):
             s = (a[:, x:y] @ b[:, x:y].T).astype(np.float64) if y > x else np.zeros((len(a), n))
             s[mine] = -np.inf
-            r, q = np.nonzero(s > level[i])
+            if np.isfinite(level[i]).all():
+                r, q = np.nonzero(s > level[i])
+            else:  # of the first rows the k best of each list
+                at = min(k, len(s)) - 1
+                r, q = np.nonzero((s >= -np.partition(-s, at, axis=0)[at]) & (s > level[i]))
             head[r, q] = True
             hq, hs = np.concatenate([held[i][0], q]), np.concatenate([held[i][1], s[r, q]])
             top = best(hq, hs, k)
@@ -146,10 +156,11 @@ def _pairs(a: np.ndarray, b: np.ndarray, r: np.ndarray, q: np.ndarray) -> np.nda
 def reaching(vecs: np.ndarray, own: np.ndarray, queries: Queries, cut: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
     """(row, query, score) of all pairs whose score reaches the query's cutoff, and how many (pair, slice) scores were made: phases 2 and 3."""
     a, b = queries.exact(vecs)
-    mine = own[:, None] == queries.row[None, :]
+    other = np.ones((len(a), len(b)), bool)
+    other[queries.mine(own)] = False
     if a.dtype == object:  # beyond 53 bits nothing is left out early
         total = a @ b.T
-        r, q = np.nonzero((total.astype(np.float64) >= cut) & ~mine)
+        r, q = np.nonzero((total.astype(np.float64) >= cut) & other)
         return r, q, total[r, q], total.size * SLICES
     # the length of what is left of each vector after each slice
     rest = lambda x: [np.sqrt((x[:, y:] ** 2).sum(1)) * (1 + 1e-9) for _, y in queries.cuts]
@@ -160,7 +171,7 @@ def reaching(vecs: np.ndarray, own: np.ndarray, queries: Queries, cut: np.ndarra
         made += s.size
         total += s
         enough |= s >= cut / SLICES
-        alive = (total + rest_a[i][:, None] * rest_b[i][None, :] + 1 >= cut) & ~mine
+        alive = (total + rest_a[i][:, None] * rest_b[i][None, :] + 1 >= cut) & other
         if i + 1 < SLICES and alive.mean() < SPARSE:
             r, q = np.nonzero(alive)
             score, passed = total[r, q], enough[r, q]
