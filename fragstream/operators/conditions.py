@@ -245,7 +245,7 @@ class MaxCount(Condition):
 
 
 def _mixed(cond: Condition, df: DataFrame, resolve: Resolve, arrival: str, poll: str | None, how: dict) -> DataFrame:
-    """Limits below an Or: a branch with one passes its first rows, found by the arrival of the last that fits (one row, broadcast)."""
+    """Limits below an Or: a branch with one passes its first rows, found by the arrival of the last that fits: one row, which is broadcast, or one a poll, which the engine joins as it sees fit."""
 
     def column(c: Condition, base: DataFrame) -> Column:
         nonlocal df
@@ -255,7 +255,7 @@ def _mixed(cond: Condition, df: DataFrame, resolve: Resolve, arrival: str, poll:
             name = f"__upto{len(df.columns)}"
             if c.reset_on_poll and poll:
                 last = c.limit(base, arrival, poll).groupBy(F.col(poll).alias("__poll")).agg(F.max(arrival).alias(name))
-                df = df.join(F.broadcast(last), F.col(poll).eqNullSafe(F.col("__poll")), "left").drop("__poll")
+                df = df.join(last, F.col(poll).eqNullSafe(F.col("__poll")), "left").drop("__poll")
             else:
                 df = df.join(F.broadcast(c.limit(base, arrival).agg(F.max(arrival).alias(name))))
             return F.coalesce(F.col(arrival) <= F.col(name), F.lit(False))

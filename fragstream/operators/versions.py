@@ -35,11 +35,14 @@ def newest(members: DataFrame, entity: str = "is_version_of", timestamp: str = "
 
 
 def latest_in_arrival_order(members: DataFrame, *arrival: Column | str, entity: str = "is_version_of", timestamp: str = "timestamp") -> DataFrame:
-    """What a reader that emits at once lets through: members no older than any of their entity that arrived before."""
+    """What a reader that emits at once lets through: members no older than any of their entity that arrived before.
+
+    Members without an entity all pass, and are dealt to no one task.
+    """
     so_far = F.max(timestamp).over(Window.partitionBy(entity).orderBy(*arrival).rowsBetween(Window.unboundedPreceding, Window.currentRow))
     keep = members.columns
-    old = F.col(entity).isNotNull() & (F.col(timestamp) < F.col("__max"))
-    return members.withColumn("__max", so_far).where(~F.coalesce(old, F.lit(False))).select(*keep)
+    known = members.where(F.col(entity).isNotNull()).withColumn("__max", so_far).where(F.coalesce(F.col(timestamp) >= F.col("__max"), F.lit(True))).select(*keep)
+    return known.unionByName(members.where(F.col(entity).isNull()))
 
 
 def materialize_ids(members: DataFrame, entity: str = "is_version_of", member: str = "member_id") -> DataFrame:
