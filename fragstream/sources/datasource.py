@@ -1,8 +1,10 @@
 """``spark.read.format("fragments")`` and ``spark.readStream.format("fragments")``: members of a stream as a data source.
 
 The driver follows links, pruned by filters on ``timestamp`` that Spark pushes
-down; tasks fetch the pages of their partition and assemble members. The stream
-reader polls: an offset counts polls and carries which pages are settled.
+down, and hands the pages on to tasks, which assemble members; pages beyond a
+bound are fetched again there. For a stream that is too large for a driver to
+follow there is ``plans.replicate``. The stream reader polls: an offset counts
+polls and carries which pages are settled.
 """
 
 from __future__ import annotations
@@ -19,18 +21,22 @@ from ..functions import terms as V
 from ..operators import conditions
 from ..plans.config import Config, Fetch
 from ..plans.discovery import Index, Info, Shape, discover
-from .http import Fetcher, FetchError
+from .http import Document, Fetcher, FetchError
 from .pages import followed, links_of
 
 SCHEMA = "member_id string, timestamp timestamp, is_version_of string, type string, page_url string, text string"
 _PUSHED = {GreaterThan: V.GREATER, GreaterThanOrEqual: V.GREATER_EQUAL, LessThan: V.LESS, LessThanOrEqual: V.LESS_EQUAL}
 
 
+#: Texts of pages that were fetched for their links go along to the tasks, up to so many characters; beyond, tasks fetch pages again.
+CARRIED = 32 << 20
+
+
 class Pages(InputPartition):
-    """Some pages, and what a task must know of the stream."""
+    """Some pages, with their texts as far as they are carried, and what a task must know of the stream."""
 
-    def __init__(self, urls: tuple[str, ...], info: Info | None = None):
-        self.urls, self.info = urls, info
+    def __init__(self, urls: tuple[str, ...], info: Info | None = None, texts: dict[str, Document] | None = None):
+        self.urls, self.info, self.texts = urls, info, texts or {}
 
 
 def assembled(quads: list[rdf.Quad], member: str, others: set[str], shape: Shape | None) -> list[rdf.Quad]:
@@ -58,10 +64,9 @@ def within(when: datetime | None, before: str | None, after: str | None) -> bool
     return when is not None and (low is None or when > low) and (high is None or when < high) if after or before else True
 
 
-def rows_of(fetcher: Fetcher, url: str, info: Info, config: Config) -> Iterator[tuple]:
+def rows_of(page: Document, info: Info, config: Config) -> Iterator[tuple]:
     """Rows of the members of one page that lie in the window of time asked for."""
     loose = config.loose
-    page = fetcher.get(url)
     quads = rdf.parse(page.text, page.url)
     ids = list(dict.fromkeys(o[1] for s, p, o, _ in quads if p == V.TREE + "member" and (loose or info.stream in (None, s[1]))))
     for m in ids:
@@ -87,6 +92,7 @@ class _Crawler:
         self.batch = int(options.get("pagesperpartition", "8"))
         self.condition: conditions.Condition | None = None
         self.info: Info | None = None
+        self.texts: dict[str, Document] = {}
 
     def plan(self) -> None:
         if self.info is None:
@@ -97,12 +103,16 @@ class _Crawler:
         """Pages by address, with whether they are immutable, in the order they were found."""
         self.plan()
         fetcher, todo, found = Fetcher(self.config.fetch), list(start), {}
+        self.texts, room = {}, CARRIED
         while todo := [u for u in dict.fromkeys(todo) if u not in settled and u not in found]:
             ahead: list[str] = []
             for url, page in zip(todo, fetcher.all(todo), strict=True):
                 if isinstance(page, OSError):
                     raise FetchError(str(page))
                 found[url] = page.immutable
+                room -= len(page.text)
+                if room >= 0:
+                    self.texts[url] = page
                 ahead += [n.partition("#")[0] for n in followed(links_of(Index(rdf.parse(page.text, page.url)).quads, page.url, self.config.loose), self.condition, self.config.timezone)]
             todo = ahead
         return found
@@ -111,12 +121,13 @@ class _Crawler:
         """Partitions of ``batch`` pages, of more if there were else more partitions than fetches from one origin are allowed: each task fetches one page after the other."""
         info = replace(self.info, root=None)
         size = max(self.batch, -(-len(urls) // max(1, self.config.fetch.concurrent)))
-        return [Pages(tuple(urls[i : i + size]), info) for i in range(0, len(urls), size)]
+        groups = [tuple(urls[i : i + size]) for i in range(0, len(urls), size)]
+        return [Pages(g, info, {u: self.texts[u] for u in g if u in self.texts}) for g in groups]
 
     def read(self, partition: Pages) -> Iterator[tuple]:
         fetcher = Fetcher(self.config.fetch)
         for url in partition.urls:
-            yield from rows_of(fetcher, url, partition.info, self.config)
+            yield from rows_of(partition.texts.get(url) or fetcher.get(url), partition.info, self.config)
 
 
 class _Batch(DataSourceReader):

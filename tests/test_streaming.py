@@ -131,7 +131,8 @@ def test_window_of_the_data_source(spark, site):
     datasource.register(spark)
     url = streams.plain(site)
     read = lambda **o: spark.read.format("fragments").options(url=url, **o).load().count()
-    assert read() == 12 and read(after="2024-07-14T10:20:00Z") == 3
+    assert read() == 12 and site.fetched("/0") == site.fetched("/1") == site.fetched("/2") == 1  # once each
+    assert read(after="2024-07-14T10:20:00Z") == 3
     assert read(before="2024-07-14T09:20:00Z", after="2024-07-14T08:00:00Z") == 3
     with pytest.raises(Exception, match="no date"):
         read(after="soon")
