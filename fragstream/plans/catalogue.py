@@ -267,8 +267,8 @@ def tree_traversal(spark, d):
 
 
 def _visits(spark, d):
-    """Visits to pages, here one a user: a visit that ended in a purchase found the page immutable."""
-    return _events(spark, d).select(F.col("is_version_of").alias("page_url"), (F.col("type") == "purchase").alias("immutable"))
+    """Visits to pages, here one a user and day: a visit that ended in a purchase found the page immutable."""
+    return _events(spark, d).select(F.concat_ws("/", "is_version_of", F.date_format("timestamp", "yyyy-MM-dd")).alias("page_url"), (F.col("type") == "purchase").alias("immutable"))
 
 
 @query
@@ -615,8 +615,8 @@ ORACLE: dict[str, str] = {
     "frontier_order": """SELECT page, important, row_number() OVER (ORDER BY important, page) AS fetch_seq FROM (SELECT DISTINCT CAST(ts AS DATE) AS page, 1 AS important FROM events UNION ALL SELECT DATE '1970-01-01', 0) f""",
     "marker_emission": """SELECT event_id AS member_id, ts FROM events WHERE ts < (SELECT min(lo) FROM (SELECT DISTINCT CAST(CAST(ts AS DATE) AS TIMESTAMP) AS lo FROM events WHERE ts >= TIMESTAMP '2024-01-12 00:00:00') pending)""",
     "tree_traversal": """WITH RECURSIVE edge AS (SELECT DISTINCT 'root' AS src, CAST(extract(year FROM ts) * 10000 AS BIGINT) AS dst FROM events), day_edge AS (SELECT DISTINCT CAST(extract(year FROM ts) * 10000 AS BIGINT) AS src, CAST(extract(year FROM ts) * 10000 + extract(month FROM ts) * 100 AS BIGINT) AS dst FROM events UNION ALL SELECT DISTINCT CAST(extract(year FROM ts) * 10000 + extract(month FROM ts) * 100 AS BIGINT), CAST(extract(year FROM ts) * 10000 + extract(month FROM ts) * 100 + extract(day FROM ts) AS BIGINT) FROM events), reach(node, depth) AS (SELECT dst, 1 FROM edge UNION ALL SELECT d.dst, r.depth + 1 FROM reach r JOIN day_edge d ON d.src = r.node) SELECT node, depth FROM reach""",
-    "immutable_skip": """SELECT DISTINCT user_id AS page FROM events WHERE event_type = 'purchase'""",
-    "mutable_pages": """SELECT user_id AS page FROM events GROUP BY user_id HAVING count(*) FILTER (event_type = 'purchase') = 0""",
+    "immutable_skip": """SELECT DISTINCT user_id || '/' || strftime(ts, '%Y-%m-%d') AS page FROM events WHERE event_type = 'purchase'""",
+    "mutable_pages": """SELECT user_id || '/' || strftime(ts, '%Y-%m-%d') AS page FROM events GROUP BY 1 HAVING count(*) FILTER (event_type = 'purchase') = 0""",
     "progress_counters": """SELECT count(*) AS member_count, count(DISTINCT CAST(ts AS DATE)) AS fragment_count, count(DISTINCT user_id) AS entity_count FROM events""",
     "cond_json_payload": """SELECT event_id AS member_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events WHERE CAST(json_extract_string(props, '$.k') AS BIGINT) > 50""",
     "max_count_in_or": """SELECT event_id AS member_id, event_type FROM events WHERE event_type = 'purchase' OR event_id IN (SELECT event_id FROM events ORDER BY event_id LIMIT 50)""",
