@@ -40,16 +40,6 @@ _half = _rng.permutation(PERMS).reshape(BANDS, ROWS // 2)
 SLOTS = np.concatenate([_half, PERMS + np.roll(_half, 1, axis=0)], axis=1)
 
 
-def slack(a: int, b: np.ndarray) -> np.ndarray:
-    """How far 32 bits of each shingle may misstate the intersection or union of sets of a and b shingles; pairs within it are confirmed like all others.
-
-    About a * b / 2**32 shingles of two sets meet by chance; six standard
-    deviations and 2 more are allowed for.
-    """
-    chance = (a + b) * np.minimum(a, b).astype(float) / 2**32
-    return np.ceil(2 + chance + 6 * np.sqrt(chance)).astype(np.int64)
-
-
 def shingle_sets(texts: pa.Array, size: int = SHINGLE) -> Iterator[tuple[np.ndarray, bytes]]:
     """For each text the sorted distinct hashes of its shingles and a digest of its word sequence (b'' without words).
 
@@ -118,7 +108,7 @@ def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 @lean
 def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        out = [(found >> np.uint64(32)).astype(np.uint32).tobytes() for found, _ in shingle_sets(batch.column(1))]
+        out = [found.tobytes() for found, _ in shingle_sets(batch.column(1))]
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["id", "shingles"])
 
 
@@ -136,39 +126,37 @@ def _confirm(group: pd.DataFrame) -> pd.DataFrame:
 
 
 def _tile(group: pd.DataFrame) -> pd.DataFrame:
-    """Rows of one tile of a bucket (role 0: minor members, 1: all): links to confirm between different components.
+    """Rows of one tile of a bucket (role 0: minor members, 1: all): links between different components.
 
-    For each minor member and each other component the most similar of its
-    members, and any other pair so close to the share that the 32 bits kept of
-    each shingle might decide it. All that is left out is certainly no link, or
-    joins components that the pairs given join as well.
+    Full sets are compared, as ``_confirm`` does. Of the links only those are given
+    that join components which the ones before have not joined, so that a tile
+    gives fewer links than it has components.
     """
     minor, rest = group[group["role"] == 0], group[group["role"] == 1]
-    out: set[tuple[int, int]] = set()
+    out: list[tuple[int, int]] = []
     if len(minor) and len(rest):
-        sets = [np.frombuffer(x, np.uint32) for x in rest["shingles"]]
+        sets = [np.frombuffer(x, np.uint64) for x in rest["shingles"]]
         size = np.array([len(x) for x in sets])
         values, code = np.unique(np.concatenate(sets), return_inverse=True)
         first = np.cumsum(size) - size
-        ids, comp = rest["id"].to_numpy(), rest["comp"].to_numpy()
+        ids, kinds = rest["id"].to_numpy(), {c: k for k, c in enumerate(sorted({*minor["comp"], *rest["comp"]}))}
+        comp = np.array([kinds[c] for c in rest["comp"]])
+        joined = np.arange(len(kinds))  # of each component, what it is joined with in this tile
         mark = np.zeros(len(values), np.int64)
         for i, c, x in zip(minor["id"].tolist(), minor["comp"], minor["shingles"], strict=True):
-            own = np.frombuffer(x, np.uint32)
+            own = np.frombuffer(x, np.uint64)
             at = np.minimum(np.searchsorted(values, own), len(values) - 1)
             at = at[values[at] == own]
             mark[at] = 1
             both = np.add.reduceat(mark[code], first)
             mark[at] = 0
-            union = len(own) + size - both
-            off = slack(len(own), size)
-            near = np.flatnonzero((SHARE[1] * (both + off) >= SHARE[0] * (union - off)) & (comp != c))
-            close = SHARE[1] * (both - off) < SHARE[0] * (union + off)
-            best: dict[int, int] = {}
-            for j in near[np.argsort(-(both[near] / np.maximum(union[near], 1)), kind="stable")].tolist():
-                if close[j] or comp[j] not in best:
-                    best.setdefault(comp[j], j)
-                    out.add((min(i, int(ids[j])), max(i, int(ids[j]))))
-    return pd.DataFrame(sorted(out), columns=["a", "b"], dtype=np.int64)
+            linked = (both > 0) & (SHARE[1] * both >= SHARE[0] * (len(own) + size - both))
+            me = kinds[c]
+            for j in np.flatnonzero(linked & (joined[comp] != joined[me])).tolist():
+                if joined[comp[j]] != joined[me]:
+                    joined[joined == joined[comp[j]]] = joined[me]
+                    out.append((min(i, int(ids[j])), max(i, int(ids[j]))))
+    return pd.DataFrame(out, columns=["a", "b"], dtype=np.int64)
 
 
 def near_duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

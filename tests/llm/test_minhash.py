@@ -80,24 +80,20 @@ def test_an_id_with_very_many_texts(spark):
     assert got == {(7, 3), (3, 3), (1, 1)}
 
 
-def test_long_sets_that_meet_by_chance_are_confirmed():
-    """32 bits of each of 200,000 shingles meet some ten times by chance; the slack covers it."""
-    rng = np.random.default_rng(6)
-    for n, m in ((200_000, 200_000), (400_000, 100_000), (500, 500)):
-        a, b = (np.unique(rng.integers(0, 2**32, k, dtype=np.uint64)) for k in (n, m))
-        assert len(np.intersect1d(a, b)) <= minhash.slack(n, np.array([m]))[0]
-    assert minhash.slack(500, np.array([500]))[0] == 3 and minhash.slack(200_000, np.array([200_000]))[0] > 18
-
-
-def test_tiles_find_the_real_link_beside_a_chance_one(monkeypatch):
-    """Two members of one component: the one that seems most similar is no link at full width, the other is; both are given to be confirmed."""
+def test_a_tile_gives_fewer_links_than_it_has_components():
+    """Forty near copies, each a component of its own, all linked with all: a tile joins them by 39 links, and leaves out what is no link."""
     import pandas as pd
 
-    base = np.arange(1000, dtype=np.uint32)
-    seems, real = base[:749].tobytes() + np.arange(5000, 5002, dtype=np.uint32).tobytes(), base[:751].tobytes()
-    group = pd.DataFrame([(0, 9, 9, base.tobytes()), *((1, i, c, x) for i, c, x in ((9, 9, base.tobytes()), (1, 1, seems), (2, 1, real)))], columns=["role", "id", "comp", "shingles"])
-    got = {tuple(r) for r in minhash._tile(group).to_numpy().tolist()}
-    assert got == {(1, 9), (2, 9)}
+    base = np.arange(1000, dtype=np.uint64) * np.uint64(1 << 40)
+    sets = [np.sort(np.append(base[: 960 + i], np.uint64(i + 1))) for i in range(40)] + [base[:749], np.arange(9, dtype=np.uint64)]
+    rows = [(role, i, i, x.tobytes()) for i, x in enumerate(sets) for role in (0, 1) if role or i]
+    got = minhash._tile(pd.DataFrame(rows, columns=["role", "id", "comp", "shingles"])).to_numpy().tolist()
+    near = {(a, b) for a in range(42) for b in range(a + 1, 42) if 100 * len(c := np.intersect1d(sets[a], sets[b])) >= 75 * (len(sets[a]) + len(sets[b]) - len(c))}
+    up = list(range(42))
+    for a, b in got:
+        assert (a, b) in near and up[a] != up[b]
+        up = [up[a] if x == up[b] else x for x in up]
+    assert all(up[a] == up[b] for a, b in near) and up[41] != up[0]
 
 
 def test_no_rows(none):
