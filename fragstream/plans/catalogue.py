@@ -393,7 +393,9 @@ def cond_missing_path_compat(spark, d):
 
 def _chained(spark, d):
     """Orders as quads: a blank part with the status inside, and a chain of twelve further nodes."""
-    df = ORDERS.members(spark, d).select(_named("order", F.col("member_id")).alias("member_id"), F.col("o_orderstatus").alias("status"))
+    df = ORDERS.members(spark, d).select("member_id", F.col("o_orderstatus").alias("status"))
+    # paths cost much a row, and a small file is one task: its rows go to all cores
+    df = df.repartition(max(df.rdd.getNumPartitions(), spark.sparkContext.defaultParallelism)).withColumn("member_id", _named("order", F.col("member_id")))
     me, part = _iri(F.col("member_id")), _blank(F.concat(F.lit("b"), "member_id"))
     step = lambda i: _iri(F.concat("member_id", F.lit(f"/{i}")))
     chain = [_quad(me if i == 0 else step(i), "urn:next", step(i + 1)) for i in range(12)]
@@ -415,7 +417,8 @@ def path_repeated(spark, d):
     """How many nodes a repeated path reaches, and the last of them: no step is too far."""
     step = paths.iri("urn:next")
     found = lambda kind: paths.values(paths.Path(kind, (step,)), F.col("quads"), _iri(F.col("member_id")))
-    return _chained(spark, d).select("member_id", F.size(found("some")).alias("n_some"), F.size(found("any")).alias("n_any"), F.size(found("optional")).alias("n_optional"), F.element_at(found("some"), -1)["value"].alias("last"))
+    once = _chained(spark, d).withColumn("some", found("some"))
+    return once.select("member_id", F.size("some").alias("n_some"), F.size(found("any")).alias("n_any"), F.size(found("optional")).alias("n_optional"), F.element_at("some", -1)["value"].alias("last"))
 
 
 @query

@@ -1,5 +1,6 @@
 """Ranges, conditions, links, versions and order, without pages."""
 
+import time
 from datetime import datetime, timezone
 
 import pytest
@@ -212,6 +213,43 @@ def test_paths():
     assert str(paths.sequence(paths.inverse(e("p")), e("n"))) == "^<http://e/p>/<http://e/n>"
 
 
+TERM = "struct<type:string,value:string,datatype:string,lang:string>"
+QUADS = f"array<struct<s:{TERM},p:string,o:{TERM},g:{TERM}>>"
+
+
+def test_path_columns_equal_walks(spark):
+    """Cycles, several next nodes, inverse steps, paths within repeated paths, and terms that differ in their datatype or language alone."""
+    rng = __import__("random").Random(3)
+    node = lambda x: (V.IRI, f"http://e/{x}", None, None)
+    ends = [node(i) for i in range(9)] + [("literal", "1", "urn:int", None), ("literal", "1", "urn:string", None), ("literal", "1", "urn:string", "en")]
+    members = [[(node(rng.randrange(9)), rng.choice("pPq"), rng.choice(ends), node("g")) for _ in range(rng.randrange(16))] for _ in range(60)]
+    p, upper, q = paths.iri("p"), paths.iri("P"), paths.iri("q")
+    some, any_ = (lambda x, k=k: paths.Path(k, (x,)) for k in ("some", "any"))
+    either = paths.Path("alternative", (p, upper, paths.inverse(q)))
+    turned, back = paths.Path("alternative", (paths.inverse(p), paths.inverse(upper), q)), paths.sequence(paths.inverse(upper), paths.inverse(p))
+    same = [some(p), any_(p), some(paths.inverse(p)), any_(either), any_(paths.sequence(p, paths.Path("optional", (q,)))), some(paths.sequence(any_(p), q))]
+    found = [*((x, x) for x in same), (some(paths.inverse(either)), some(turned)), (any_(paths.inverse(paths.sequence(p, upper))), any_(back))]
+    df = spark.createDataFrame(list(enumerate(members)), f"i int, quads {QUADS}").repartition(4)
+    start = F.struct(F.lit(V.IRI).alias("type"), F.lit("http://e/0").alias("value"), F.lit(None).cast("string").alias("datatype"), F.lit(None).cast("string").alias("lang"))
+    got = {r[0]: r[1:] for r in df.select("i", *(paths.values(x, F.col("quads"), start).alias(f"x{k}") for k, (x, _) in enumerate(found))).collect()}
+    for i, quads in enumerate(members):
+        for k, (x, plain) in enumerate(found):
+            assert {tuple(t) for t in got[i][k]} == set(paths.walk(plain, quads, node(0))), (i, str(x))
+            assert len(got[i][k]) == len({tuple(t) for t in got[i][k]})
+
+
+def test_a_long_repeated_path_follows_each_quad_about_once(spark):
+    """Members with 120 nodes in a row: a step from all that was found, in each of 120 rounds, takes minutes here."""
+    term = lambda x: F.struct(F.lit(V.IRI).alias("type"), x.alias("value"), F.lit(None).cast("string").alias("datatype"), F.lit(None).cast("string").alias("lang"))
+    at = lambda i: term(F.concat(F.lit("urn:"), "id", F.lit("/"), i.cast("string")))
+    chain = F.transform(F.sequence(F.lit(0), F.lit(119)), lambda i: F.struct(at(i).alias("s"), F.lit("p").alias("p"), at(i + 1).alias("o"), at(i).alias("g")))
+    df = spark.range(0, 480, 1, 4).withColumn("quads", chain)
+    began = time.monotonic()
+    sizes = df.select(F.size(paths.values(paths.Path("any", (paths.iri("p"),)), F.col("quads"), at(F.lit(0)))).alias("n")).groupBy("n").count().collect()
+    assert [tuple(r) for r in sizes] == [(121, 480)]
+    assert time.monotonic() - began < 20
+
+
 def test_condition_files(tmp_path):
     head = "@prefix csp: <http://vocab.deri.ie/csp#> . @prefix tree: <https://w3id.org/tree#> . @prefix ex: <http://e/> . @prefix sh: <http://www.w3.org/ns/shacl#> .\n"
     one = lambda kind, path, value, t: f'[ a csp:Condition ; tree:relationType tree:{kind}Relation ; tree:path {path} ; tree:value {value} ; tree:compareType "{t}" ]'
