@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -10,7 +12,7 @@ from pyspark.sql import types as T
 
 from ..shared import checkpoint, delete_path, file_system, shared_dir
 
-__all__ = ["TRAIN_BYTES", "WORD", "Scratch", "bounded", "checkpoint", "delete_path", "file_system", "held_out", "labelled_sample", "lower_ascii", "n_words", "row_bytes", "sent", "shared_dir"]
+__all__ = ["TRAIN_BYTES", "WORD", "Scratch", "bounded", "checkpoint", "delete_path", "file_system", "held_out", "labelled_rows", "labelled_sample", "lower_ascii", "n_words", "row_bytes", "sent", "shared_dir"]
 
 #: A side of a join is broadcast if its rows take so many bytes at most, as ``row_bytes`` counts them.
 BROADCAST_BYTES = 64 << 20
@@ -23,7 +25,14 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 class Scratch:
-    """Parquet tables in the shared folder that one operator call writes, reads and drops again."""
+    """Parquet tables in the shared folder that one operator call writes, reads and drops again.
+
+    Broadcasts, shuffles and plans of what is written go when the driver collects
+    its garbage, which it need not do before its heap is full: every few tables ask for it.
+    """
+
+    #: Tables written since the driver was last asked to collect its garbage, by all operators; and at how many it is.
+    written, EVERY = 0, 8
 
     def __init__(self, spark: SparkSession):
         self.spark, self.root = spark, f"{shared_dir(spark)}/scratch-{uuid.uuid4().hex}"
@@ -37,6 +46,10 @@ class Scratch:
     def table(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.root}/{name}"
         df.write.mode("overwrite").parquet(path)
+        Scratch.written += 1
+        if Scratch.written >= Scratch.EVERY:
+            Scratch.written = 0
+            self.spark.sparkContext._jvm.System.gc()
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, name: str) -> None:
@@ -91,8 +104,9 @@ def bounded(drawn: DataFrame, scratch: Scratch, order: tuple[str, ...], most: in
     return drawn.join(F.broadcast(upto.where((F.col("__upto") <= most) | (F.col("__place") == 1)).select(*order)), [*order])
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, *, mod: int, rest: int, rows: int, seed: int, most_bytes: int = TRAIN_BYTES) -> list[tuple[str, int]]:
-    """At most ``rows`` whole labelled texts, of ``most_bytes`` together, that are not held out, in a repeatable order.
+@contextlib.contextmanager
+def labelled_rows(docs: DataFrame, labels: DataFrame, target: str, *, mod: int, rest: int, rows: int, seed: int, most_bytes: int = TRAIN_BYTES) -> Iterator[DataFrame]:
+    """At most ``rows`` whole labelled texts, of ``most_bytes`` together, that are not held out (__i, text, __y, __h), while the context lasts.
 
     The ids are drawn by a seeded hash from the labels alone, so only ids are
     sorted; the texts of the drawn ids are then picked out in one scan. Rows
@@ -104,5 +118,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, *, mod: int
     drawn = marked.withColumn("__h", F.xxhash64("__i", F.lit(seed))).orderBy("__h", "__i").limit(rows)
     found = docs.select(F.col("doc_id").alias("__i"), "text").where("text is not null").join(F.broadcast(drawn), "__i")
     with Scratch(docs.sparkSession) as scratch:
-        some = bounded(found.groupBy("__i").agg(F.min("text").alias("text"), F.first("__y").alias("__y"), F.first("__h").alias("__h")), scratch, ("__h", "__i"), most_bytes)
+        yield bounded(found.groupBy("__i").agg(F.min("text").alias("text"), F.first("__y").alias("__y"), F.first("__h").alias("__h")), scratch, ("__h", "__i"), most_bytes)
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, target: str, **how) -> list[tuple[str, int]]:
+    """The (text, label) of ``labelled_rows`` in the order of their ids."""
+    with labelled_rows(docs, labels, target, **how) as some:
         return [(r["text"], r["__y"]) for r in sorted(some.collect(), key=lambda r: r["__i"])]

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from ..shipping import ship
 from .bytesgrams import POWERS, SPACE, P, lean, mix, slices, word_hashes, words
-from .common import held_out, labelled_sample
+from .common import held_out, labelled_rows
 
 #: Labelled rows to learn from at most; each is a whole text.
 TRAIN_ROWS = 2000
@@ -141,8 +141,18 @@ def train(rows: list[tuple[str, int]], classes: int = 2) -> Model:
 
 
 def fit(docs: DataFrame, labels: DataFrame, target: str = "quality", rows: int = TRAIN_ROWS) -> Model:
-    """Trains on at most ``rows`` labelled whole texts that are not held out."""
-    return train(labelled_sample(docs, labels, target, mod=HELD_OUT[0], rest=HELD_OUT[1], rows=rows, seed=SEED))
+    """Trains on at most ``rows`` labelled whole texts that are not held out, in one task: the driver gets the weights, no text."""
+    ship(docs.sparkSession)
+
+    @lean
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [row for batch in batches for row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)]
+        model = train(held)
+        yield pa.RecordBatch.from_arrays([pa.array([model.weight.tobytes()], pa.binary()), pa.array([model.bias], pa.float64())], ["weight", "bias"])
+
+    with labelled_rows(docs, labels, target, mod=HELD_OUT[0], rest=HELD_OUT[1], rows=rows, seed=SEED) as some:
+        found = some.repartition(1).sortWithinPartitions("__i").select("text", "__y").mapInArrow(learn, "weight binary, bias double").first()
+    return Model(np.frombuffer(found["weight"], np.float32), found["bias"]) if found else train([])
 
 
 def scored(docs: DataFrame, model, text_col: str = "text", score_col: str = "score") -> DataFrame:

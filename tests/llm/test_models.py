@@ -1,3 +1,5 @@
+import os
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -271,3 +273,29 @@ def test_an_id_of_very_many_texts_counts_once(spark, monkeypatch):
     rows = [(1, f"text {i}", "en") for i in range(500)] + [(3, "ein text", "de"), (4, "x" * 5000, "de")]
     langid.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"), most_bytes=1000)
     assert len(seen) <= 3 and "ein text" in seen and sum(map(len, seen)) <= 1000
+
+
+def test_quality_learns_in_a_task_and_the_driver_holds_no_text(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, ("good words here " if i % 2 else "zq xx vv ") * (i % 5 + 3)) for i in range(60)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    rows = common.labelled_sample(docs, labels, "quality", mod=5, rest=0, rows=quality.TRAIN_ROWS, seed=quality.SEED)
+    train, driver = quality.train, os.getpid()
+    own = train(rows)
+
+    def elsewhere(rows):
+        assert os.getpid() != driver
+        return train(rows)
+
+    monkeypatch.setattr(quality, "train", elsewhere)
+    got = quality.fit(docs, labels)
+    assert rows and got.bias == own.bias and (got.weight == own.weight).all()
+
+
+def test_the_driver_collects_its_garbage_every_few_tables(spark):
+    beans = spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+    full = lambda: sum(b.getCollectionCount() for b in beans if "Old" in b.getName() or "MarkSweep" in b.getName())
+    before = full()
+    with common.Scratch(spark) as scratch:
+        for i in range(common.Scratch.EVERY):
+            scratch.table(spark.range(1), f"t{i}")
+    assert full() > before
